@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import tokenize
+from . import language, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,8 +16,26 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and confidence of every page and every prose segment."""
+    model = language.fit(table(spark, folder, "documents", "doc_id", "lang", "text"))
+    return language.languages(table(spark, folder, "elements"), table(spark, folder, "page_meta"), model)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages whose label names no language or another one, and segments in another language than their page."""
+    rows = p5_languages(spark, folder)
+    page_case = (F.col("block_idx") == -1) & (F.col("labelled").isNull() | (F.col("labelled") != F.col("main")))
+    segment_case = (F.col("block_idx") >= 0) & (F.col("lang") != F.col("main"))
+    return rows.filter(page_case | segment_case).select("file", "page", "block_idx", "seg_no", "lang").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids}
+    return {
+        "p5_found": p5_found,
+        "p5_languages": p5_languages,
+        "p6_ids": p6_ids,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
