@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language, tokenize
+from . import language, pii, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +16,25 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    words = pii.vocabulary(table(spark, folder, "dictionary", "term"))
+    elements = table(spark, folder, "elements", "elem_id", "content").filter("content is not null and content != ''")
+    fields = table(spark, folder, "form_fields", "field_id", "value", "field_key").filter("value is not null and value != ''")
+    found = [pii.personal_data(elements, words, "elem_id", "content"), pii.personal_data(fields, words, "field_id", "value", "field_key")]
+    return found[0].select(F.lit("elements").alias("src"), "*").unionByName(found[1].select(F.lit("form_fields").alias("src"), "*"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """src, row_id, kind and start of every case of personal data."""
+    return personal_data(spark, folder).select("src", "row_id", "kind", "start_pos").distinct()
+
+
+def p3_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The contents of all elements with typed placeholders in place of personal data."""
+    words = pii.vocabulary(table(spark, folder, "dictionary", "term"))
+    return pii.redact(table(spark, folder, "elements", "elem_id", "content"), words, ("elem_id",), "content").distinct()
+
+
 def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
     """Language and confidence of every page and every prose segment."""
     model = language.fit(table(spark, folder, "documents", "doc_id", "lang", "text"))
@@ -32,6 +51,8 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p3_found": p3_found,
+        "p3_redacted": p3_redacted,
         "p5_found": p5_found,
         "p5_languages": p5_languages,
         "p6_ids": p6_ids,
