@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language, pii, tokenize
+from . import language, pii, spam, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +49,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter(page_case | segment_case).select("file", "page", "block_idx", "seg_no", "lang").distinct()
 
 
+def p8_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Score, share of advertising and smoothed probability of every page with words or links."""
+    return spam.spam_pages(table(spark, folder, "documents", "doc_id", "origin", "text")).drop("origin")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id of every page that is more likely spam than not, by its smoothed score, and about half advertising."""
+    return p8_pages(spark, folder).filter((F.col("p") > 0.5) & (F.col("spam_share") > spam.LEAST_SHARE)).select("doc_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p3_found": p3_found,
@@ -56,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p5_languages": p5_languages,
         "p6_ids": p6_ids,
+        "p8_found": p8_found,
+        "p8_pages": p8_pages,
     }
 
 
