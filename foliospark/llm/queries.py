@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..sources.tables import table
-from . import language, pii, spam, tokenize
+from . import language, names, pii, spam, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,6 +36,17 @@ def p3_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return pii.redact(table(spark, folder, "elements", "elem_id", "content"), words, ("elem_id",), "content").distinct()
 
 
+def p4_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """field_id and entity of every sender or recipient that names somebody."""
+    fields = table(spark, folder, "form_fields", "field_id", "field_key", "value", "ingested_at").filter(F.col("field_key").isin("to", "from"))
+    return names.entities(fields)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each pair of fields that name the same person or organisation."""
+    return names.same_entity_pairs(session.written(p4_entities(spark, folder), "name-entities")).distinct()
+
+
 def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
     """Language and confidence of every page and every prose segment."""
     model = language.fit(table(spark, folder, "documents", "doc_id", "lang", "text"))
@@ -63,6 +75,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p3_found": p3_found,
         "p3_redacted": p3_redacted,
+        "p4_found": p4_found,
+        "p4_entities": p4_entities,
         "p5_found": p5_found,
         "p5_languages": p5_languages,
         "p6_ids": p6_ids,
