@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -26,6 +27,22 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "folio
     return spark
 
 
+def importable(query):
+    """The query, made to run wherever the session was started from: Python workers find this package by the path that
+    the driver has it from."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        env = spark.sparkContext.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        return query(spark, folder)
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir. Only where that is unset (tests, local mode) a
     temporary folder is set."""
