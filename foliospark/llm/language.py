@@ -13,6 +13,7 @@ first in the order of `LANGS` is the main one; a page without metadata or with a
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -63,6 +64,7 @@ class Scores:
 
     def __init__(self, words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
         self.words, self.grams = words, grams
+        self.id = uuid.uuid4().hex
 
     @staticmethod
     def fit(rows: list[tuple[str, str]]) -> "Scores":
@@ -255,12 +257,23 @@ class Labeller:
         return content[p], np.array(seg_no)[p], best[p], letters[p], conf[p]
 
 
+_LABELLERS: dict[str, Labeller] = {}
+
+
+def labeller(model: Scores) -> Labeller:
+    """The worker's Labeller of a model, with its memo."""
+    if model.id not in _LABELLERS:
+        _LABELLERS.clear()
+        _LABELLERS[model.id] = Labeller(model)
+    return _LABELLERS[model.id]
+
+
 def labelled_segments(elements: DataFrame, model: Scores, keep: tuple[str, ...], content: str = "content") -> DataFrame:
     """The `keep` columns with seg_no, lang, letters and confidence of every prose segment of the contents."""
     shared = elements.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lab = Labeller(shared.value)
+        lab = labeller(shared.value)
         for b in batches:
             n = b.num_columns - 1
             texts = b.column(n).to_pylist()

@@ -166,7 +166,9 @@ def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERROR
     neighbours, from 1 to `most` (1 for texts under 7 letters). Every pair is found once each way."""
     pieces = most + 1
     n = F.length(text)
-    base = names.filter(n >= pieces).withColumn("row", F.struct(*names.columns))
+    # a number given keeps tasks as many as that, though each name grows to dozens of rows
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = names.filter(n >= pieces).withColumn("row", F.struct(*names.columns)).repartition(tasks, text)
     index = base.select(
         F.col("row").alias("b"),
         F.explode(F.array(*[F.struct(F.col(block).alias("blk"), n.alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1]).alias("s")) for i in range(pieces)])).alias("k"),

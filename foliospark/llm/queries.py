@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..sources.tables import table
-from . import language, names, pii, spam, tokenize
+from . import language, names, pii, scan, spam, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +17,23 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def scanned(spark: SparkSession, folder: str) -> DataFrame:
+    elements = table(spark, folder, "elements", "elem_id", "block_idx", "content", "bounding_box")
+    return scan.page_texts(elements, table(spark, folder, "borderless_rows", "row_id", "c6"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Words divided at line ends, misread words, running heads and page numbers, with their right form."""
+    texts = scanned(spark, folder)
+    return scan.found_cases(texts, scan.fit(texts)).distinct()
+
+
+def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of elements and remarks repaired into continuous paragraphs; what holds only furniture is empty."""
+    texts = scanned(spark, folder)
+    return scan.repaired(texts, scan.fit(texts)).select("src", "row_id", "repaired").distinct()
+
+
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     words = pii.vocabulary(table(spark, folder, "dictionary", "term"))
     elements = table(spark, folder, "elements", "elem_id", "content").filter("content is not null and content != ''")
@@ -73,6 +90,8 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": p1_found,
+        "p1_paragraphs": p1_paragraphs,
         "p3_found": p3_found,
         "p3_redacted": p3_redacted,
         "p4_found": p4_found,
