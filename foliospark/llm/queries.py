@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..sources.tables import table
-from . import language, names, pii, scan, spam, tokenize
+from . import language, mix, names, pii, scan, spam, tokenize
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,6 +78,21 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter(page_case | segment_case).select("file", "page", "block_idx", "seg_no", "lang").distinct()
 
 
+def mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, folder, "documents", "doc_id", "source", "lang", "text")
+    return mix.mixed(docs, table(spark, folder, "mix_targets", "source", "target_share", "max_repeats"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen documents with their tokens and repetitions."""
+    return mixture(spark, folder)[0]
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target, reachable and actual share of tokens of every source with a target."""
+    return mixture(spark, folder)[1]
+
+
 def p8_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Score, share of advertising and smoothed probability of every page with words or links."""
     return spam.spam_pages(table(spark, folder, "documents", "doc_id", "origin", "text")).drop("origin")
@@ -99,6 +114,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p5_languages": p5_languages,
         "p6_ids": p6_ids,
+        "p7_mix": p7_mix,
+        "p7_shares": p7_shares,
         "p8_found": p8_found,
         "p8_pages": p8_pages,
     }
