@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import hash_sample
+
 LANGS = ("en", "fr", "de", "es", "tr", "it")
 #: Names and codes of the languages (fixed values).
 NOTATIONS = {
@@ -123,15 +125,8 @@ def trigrams(word: str) -> list[str]:
 
 def fit(documents: DataFrame) -> Scores:
     """Scores from at most TRAIN_DOCUMENTS labelled documents, chosen by a hash of their id."""
-    rows = (
-        documents.filter(F.length("text") > 200)
-        .select(label_language(F.col("lang")).alias("lang"), "text", F.xxhash64("doc_id").alias("h"))
-        .filter("lang is not null")
-        .orderBy("h")
-        .limit(TRAIN_DOCUMENTS)
-        .select("lang", "text")
-        .toPandas()
-    )
+    sample = hash_sample(documents.select("doc_id", label_language(F.col("lang")).alias("lang"), "text"), "doc_id", TRAIN_DOCUMENTS, "lang is not null and length(text) > 200")
+    rows = sample.select("lang", "text").toPandas()
     return Scores.fit(list(zip(rows["lang"], rows["text"])))
 
 

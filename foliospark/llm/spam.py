@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import hash_sample, written
 
 #: Frequent function words of the six languages (fixed values).
 FUNCTION_WORDS = frozenset(
@@ -225,10 +225,9 @@ class Trees:
 
 def train(pages: DataFrame) -> Trees:
     """Trees from at most TRAIN_PAGES weakly labelled pages, chosen by a hash of their id, spam and honest alike."""
-    labelled = pages.filter("weak is not null").select("f", "weak", F.xxhash64("doc_id").alias("h"))
     rows = []
     for label in (0, 1):
-        rows += labelled.filter(F.col("weak") == label).orderBy("h").limit(TRAIN_PAGES // 2).select("f", "weak").collect()
+        rows += hash_sample(pages.filter(F.col("weak") == label).select("doc_id", "f", "weak"), "doc_id", TRAIN_PAGES // 2).select("f", "weak").collect()
     if not rows:
         rows = [(np.zeros(len(FEATURES)), 0)]
     return Trees.fit(np.array([r[0] for r in rows], np.float32), np.array([r[1] for r in rows], np.float64))
