@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +42,7 @@ def merged_overlaps(blocks: DataFrame, keys: list[str], threshold: float = 0.3)
         union = area(a) + area(b) - w * h
         return w * h / union if union > 0 else 0.0
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("block_idx", kind="stable")
-        rest = list(page[["block_idx", "content", *SIDES]].itertuples(index=False, name=None))
+    def fold(rest: list[tuple]) -> list[tuple]:
         taken, out = [False] * len(rest), []
         for i, (idx, text, *box) in enumerate(rest):
             if taken[i]:
@@ -54,8 +54,14 @@ def merged_overlaps(blocks: DataFrame, keys: list[str], threshold: float = 0.3)
                     other = rest[j][2:]
                     box = [min(box[0], other[0]), min(box[1], other[1]), max(box[2], other[2]), max(box[3], other[3])]
                     texts.append(rest[j][1])
-            out.append((*(page[k].iloc[0] for k in keys), idx, " ".join(t for t in texts if t), *box, n))
-        return pd.DataFrame(out, columns=[*keys, "block_idx", "content", *SIDES, "n_merged"])
+            out.append((idx, " ".join(t for t in texts if t), *box, n))
+        return out
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rows = [(*r[:-1], *m) for r in pdf.itertuples(index=False, name=None) for m in fold([(x["block_idx"], x["content"], *(x[s] for s in SIDES)) for x in r[-1]])]
+            yield pd.DataFrame(rows, columns=[*keys, "block_idx", "content", *SIDES, "n_merged"])
 
-    whole = blocks.filter(" and ".join(f"{s} is not null" for s in SIDES)).select(*keys, "block_idx", "content", *SIDES)
-    return whole.groupBy(*keys).applyInPandas(fold, schema)
+    whole = blocks.filter(" and ".join(f"{s} is not null" for s in SIDES))
+    lists = whole.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block_idx", *SIDES, "content"))).alias("c"))
+    return lists.mapInPandas(run, schema)

@@ -106,11 +106,15 @@ def borderless_tables(blocks: DataFrame, keys: list[str], least_cols: int = 2, l
             return 0.1
         return 0.2 if kinds.count(2) > kinds.count(3) else kinds.count(3) / len(kinds)
 
-    def best(page: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame(columns=[*keys, "block_idx", "row", "col"])
+    def best(page: list[dict]) -> list[tuple[int, int, int]]:
         if len(page) < least_cols * least_rows:
-            return none
-        rows = [r.sort_values("col").to_dict("records") for _, r in page.groupby("row", sort=True)]
+            return []
+        rows: list[list[dict]] = []
+        for b in page:  # in the order of rows and columns
+            if rows and rows[-1][0]["row"] == b["row"]:
+                rows[-1].append(b)
+            else:
+                rows.append([b])
         mid = lambda b: (b["x1"] + b["x2"]) / 2
         top, found = 0.0, []
         for i, first in enumerate(rows):
@@ -130,16 +134,22 @@ def borderless_tables(blocks: DataFrame, keys: list[str], least_cols: int = 2, l
             if value >= 0.3 and len(run) > top and distinct / len(first) >= least_rows and len(run) * value > top:
                 top, found = len(run) * value, run
         if not found:
-            return none
+            return []
         area = (max(b["x2"] for b in found) - min(b["x1"] for b in found)) * (max(b["y2"] for b in found) - min(b["y1"] for b in found))
-        cover = area / (page["w"].iloc[0] * page["h"].iloc[0])
+        cover = area / (page[0]["w"] * page[0]["h"])
         centres = sorted({mid(b) for b in found})
         n_cols = 1 + sum(b - a > 30 for a, b in zip(centres, centres[1:]))
         if cover > 0.70 or (cover > 0.65 and n_cols < 3):
-            return none
-        return pd.DataFrame([(*(page[k].iloc[0] for k in keys), b["block_idx"], b["row"], b["col"]) for b in found], columns=[*keys, "block_idx", "row", "col"])
+            return []
+        return [(b["block_idx"], b["row"], b["col"]) for b in found]
 
-    return scored.groupBy(*keys).applyInPandas(best, schema)
+    def run_all(it):
+        for pdf in it:
+            out = [(*r[:-1], *m) for r in pdf.itertuples(index=False, name=None) for m in best(list(r[-1]))]
+            yield pd.DataFrame(out, columns=[*keys, "block_idx", "row", "col"])
+
+    lists = scored.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row", "col", "block_idx", "kind", "x1", "y1", "x2", "y2", "w", "h"))).alias("c"))
+    return lists.mapInPandas(run_all, schema)
 
 
 def merged_cells(grid: DataFrame, lines: DataFrame, keys: list[str], tolerance: float = 10.0) -> DataFrame:
