@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import chart_queries, field_queries, layout_queries, nested_queries, routing_queries, table_queries, text_queries, word_queries
+from .plans import chart_queries, document_queries, field_queries, layout_queries, nested_queries, routing_queries, table_queries, text_queries, word_queries
 
-MODULES = [text_queries, layout_queries, field_queries, routing_queries, table_queries, word_queries, chart_queries, nested_queries]
+MODULES = [text_queries, layout_queries, field_queries, routing_queries, table_queries, word_queries, chart_queries, document_queries, nested_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
