@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -143,36 +142,31 @@ def near_given(w: str) -> bool:
 
 
 class Mapped:
-    """A normalised text with the source position of each of its positions."""
+    """A normalised text with the source position of each of its positions; no list where none has moved."""
 
     def __init__(self, text: str):
         self.text = text
-        self.starts: list[int] = [0]
-        self.shift: list[int] = [0]
+        self.at: list[int] | None = None
 
     def rewrite(self, pattern: re.Pattern, to) -> None:
-        out, last, size, starts, shift = [], 0, 0, [0], [self.shift[0]]
-        changed = False
+        """Every match replaced; what replaces it stands where the match began, what follows where it stood."""
+        out: list[str] = []
+        at: list[int] = []
+        last = 0
         for m in pattern.finditer(self.text):
+            old = self.at or range(len(self.text) + 1)
             new = to(m) if callable(to) else to
-            out.append(self.text[last : m.start()])
-            size += m.start() - last
-            starts.append(size)
-            shift.append(self.source(m.start()) - size)
-            out.append(new)
-            size += len(new)
-            starts.append(size)
-            shift.append(self.source(m.end()) - size)
-            last, changed = m.end(), True
-        if changed:
-            old = self.starts, self.shift
-            keep = [(size + (s - last), h + last - size) for s, h in zip(*old) if s > last]
+            out += [self.text[last : m.start()], new]
+            at += [*old[last : m.start()], *[old[m.start()]] * len(new)]
+            last = m.end()
+        if out:
+            old = self.at or range(len(self.text) + 1)
             out.append(self.text[last:])
+            self.at = [*at, *old[last:]]
             self.text = "".join(out)
-            self.starts, self.shift = starts + [k[0] for k in keep], shift + [k[1] for k in keep]
 
     def source(self, at: int) -> int:
-        return at + self.shift[bisect_right(self.starts, at) - 1]
+        return at if self.at is None else self.at[at]
 
 
 def normalised(text: str) -> Mapped:

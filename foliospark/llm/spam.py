@@ -98,7 +98,9 @@ def features(text: str) -> list[float] | None:
             leet = len(LEET.findall(u)) / max(1, len(tokens)) if disguised else 0
             codes = len(CODE.findall(u)) if codes_all >= 6 else 0
             distinct = len(set(uw)) / max(1, k)
-            whole = k >= 6 and distinct >= 0.8 and u[-1] in ".!?"
+            said = [w for w in uw if w not in FUNCTION_WORDS]
+            fresh = len(set(said)) >= 0.95 * len(said)  # a sentence that stuffs keywords repeats them within itself
+            whole = k >= 6 and (distinct >= 0.8 or fresh) and u[-1] in ".!?"
             tags = u.count("#") if "#" in u else u.count("[") if "[" in u else 0
             if leader:
                 item += chars
@@ -115,7 +117,7 @@ def features(text: str) -> list[float] | None:
                 spam += chars
             elif numbers >= 2 and k <= 14 * numbers and func < 0.4 * k and (k <= 10 or not (cover > 0.6 and numbers < 0.35 * k)):
                 item += chars
-            elif k >= 2 and (cover >= 0.3 and (distinct < 0.85 or func < 0.2 * k) or cover >= 0.26 and distinct < 0.8 or k <= 6 and cover >= 0.4) and not (whole and (cover < 0.45 or distinct >= 0.9)):
+            elif k >= 2 and (cover >= 0.3 and (distinct < 0.85 or func < 0.2 * k) or cover >= 0.26 and distinct < 0.8 or k <= 6 and cover >= 0.4) and not (whole and (cover < 0.45 or distinct >= 0.9 or fresh)):
                 spam += chars
             elif k == 1 and cover == 1:
                 spam += chars
@@ -177,6 +179,8 @@ class Trees:
         edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
         binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], 1)
         third = max(2, x.shape[1] // 3)
+        rarer = int(min(y.sum(), len(y) - y.sum()))
+        least = max(1, min(LEAST_LEAF, rarer // 4))  # few pages of a kind need small leaves
         trees = []
         for _ in range(TREES):
             rows: list[list[float]] = []
@@ -185,14 +189,14 @@ class Trees:
                 me = len(rows)
                 mean = (y[at].sum() + 0.5) / (len(at) + 1)
                 rows.append([-1, 0, 0, 0, mean])
-                if depth == DEPTH or len(at) < 2 * LEAST_LEAF or y[at].min() == y[at].max():
+                if depth == DEPTH or len(at) < 2 * least or y[at].min() == y[at].max():
                     return me
                 best = (1e-9, -1, 0)
                 total, ones = len(at), y[at].sum()
                 for j in rng.permutation(x.shape[1])[:third]:
                     c = np.bincount(binned[at, j], minlength=BINS + 1).cumsum()[:-1]
                     s = np.bincount(binned[at, j], y[at], minlength=BINS + 1).cumsum()[:-1]
-                    ok = (c >= LEAST_LEAF) & (total - c >= LEAST_LEAF)
+                    ok = (c >= least) & (total - c >= least)
                     if ok.any():
                         gain = np.where(ok, s**2 / np.maximum(c, 1) + (ones - s) ** 2 / np.maximum(total - c, 1) - ones**2 / total, -1)
                         k = int(gain.argmax())
