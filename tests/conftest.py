@@ -15,7 +15,7 @@ def spark():
     from foliospark.session import local_session
 
     s = local_session(8, 4, "tests")
-    s.sparkContext.environment["PYTHONPATH"] = str(ROOT)
+    s.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{ROOT / 'tests'}"
     yield s
     s.stop()
 
