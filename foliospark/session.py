@@ -63,10 +63,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hash_sample(df: DataFrame, key: str, rows: int, condition: str = "true") -> DataFrame:
+def hash_sample(df: DataFrame, key: str, rows: int, condition: str = "true", total: int | None = None) -> DataFrame:
     """At most so many rows of df that meet the condition, chosen by a hash of the key. The share that goes into the last
-    choice is set from the number of all rows, so that tasks send the driver no more in all than about that many."""
-    total = df.count()
+    choice is set from the number of all rows (total, where it is known), so that tasks send the driver no more in all than
+    about that many."""
+    total = df.count() if total is None else total
     share = min(1.0, 1.5 * rows / max(1, total))
     h = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 30))
     return df.filter(condition).withColumn("_h", h).filter(F.col("_h") < int(share * (1 << 30))).orderBy("_h", key).limit(rows).drop("_h")
