@@ -18,8 +18,8 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scanned(spark: SparkSession, folder: str) -> DataFrame:
-    elements = table(spark, folder, "elements", "elem_id", "block_idx", "content", "bounding_box")
-    return scan.page_texts(elements, table(spark, folder, "borderless_rows", "row_id", "c6"))
+    elements = table(spark, folder, "elements", "elem_id", "file", "page", "block_idx", "content", "bounding_box")
+    return scan.page_texts(elements, table(spark, folder, "borderless_rows", "row_id", "file", "page", "c6"))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
