@@ -82,3 +82,17 @@ def test_entities(spark):
     same = [1, 2, 3, 4, 12]
     assert got == sorted([(a, b) for a in same for b in same if a < b] + [(6, 7)])
     assert N.entities(df.limit(0)).count() == 0
+
+
+def test_entities_do_not_depend_on_how_often_rows_occur(spark):
+    from pyspark.sql import functions as F
+
+    names = [("Robert Drumbeofatund", 5), ("Robert Drumbeofatnud", 3), ("Robert Drumbeofatumd", 2), ("Milmaigeoneon Foods Ltd", 4), ("Milmaigeonecn Foods Ltd", 3), ("Yolanda Drumbeofatund", 3)]
+
+    def groups(times):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(v for v, n in names for _ in range(n * times))], "field_id bigint, value string").withColumn("ingested_at", F.lit(None).cast("timestamp"))
+        by = N.entities(df).join(df, "field_id").groupBy("entity").agg(F.collect_set("value").alias("v")).collect()
+        return {frozenset(r.v) for r in by}
+
+    want = {frozenset(v for v, _ in names[:3]), frozenset(v for v, _ in names[3:5]), frozenset(v for v, _ in names[5:])}
+    assert groups(10) == want
