@@ -6,6 +6,8 @@ row with an error. The language of a file's first page is that of all its pages.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +26,21 @@ KEYS = ["file", "page"]
 
 
 def page_images(spark: SparkSession, folder: str, slots: Registry) -> DataFrame:
-    """file, page, document_type, image, error of the images of a folder and, by the slot pdf_pages, of its PDF pages."""
+    """file, page, document_type, image, error of the images of a folder and, by the slot pdf_pages, of its PDF pages. An
+    image file that does not decode keeps its row."""
     name = F.element_at(F.split("origin", "/"), -1)
-    one = files.images(spark, folder).select(name.alias("file"), F.lit(1).alias("page"), F.lit("image").alias("document_type"), F.struct("image.height", "image.width", "image.nChannels", "image.data").alias("image"))
+    kind = F.lower(F.element_at(F.split(name, r"\."), -1))
+    read = files.images(spark, folder, invalid=True).filter(F.col("image").isNotNull() | kind.isin(*[t for t in files.TYPES if t != "pdf"]))
+    image = F.when(F.col("image").isNotNull(), F.struct("image.height", "image.width", "image.nChannels", "image.data"))
+    # empty files are listed, but no source gives a row for them
+    listed = spark.createDataFrame([(unquote(x).rsplit("/", 1)[-1],) for x in spark.read.format("binaryFile").option("pathGlobFilter", files.GLOB).option("recursiveFileLookup", "false").load(folder).inputFiles()], "file string").filter(~F.lower("file").endswith(".pdf"))
+    one = read.select(name.alias("file"), F.lit(1).alias("page"), F.lit("image").alias("document_type"), image.alias("image"))
+    lost = listed.join(one, "file", "left_anti").select("file", F.lit(1).alias("page"), F.lit("image").alias("document_type"), F.lit(None).cast(one.schema["image"].dataType).alias("image"))
     pdf = slots.apply(files.input_files(spark, folder, content=True).filter("is_pdf"), "pdf_pages", ["content"])
     many = pdf.select("file", F.posexplode_outer("pages").alias("p", "bytes"))
     blank = one.schema["image"].dataType
     pages = many.select("file", (F.coalesce("p", F.lit(0)) + 1).alias("page"), F.lit("pdf").alias("document_type"), F.lit(None).cast(blank).alias("image"))
-    return one.unionByName(pages).withColumn("error", F.when(F.col("image").isNull(), "no image"))
+    return one.unionByName(lost).unionByName(pages).withColumn("error", F.when(F.col("image").isNull(), "no image"))
 
 
 def measured(pages: DataFrame) -> DataFrame:

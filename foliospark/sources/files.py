@@ -34,9 +34,11 @@ def input_files(spark: SparkSession, folder: str, content: bool = False) -> Data
     return df.select(*cols)
 
 
-def images(spark: SparkSession, folder: str) -> DataFrame:
-    """origin and the decoded image (height, width, nChannels, data as BGR rows); files that do not decode are left out."""
-    return spark.read.format("image").option("dropInvalid", "true").load(folder).select("image.origin", "image")
+def images(spark: SparkSession, folder: str, invalid: bool = False) -> DataFrame:
+    """origin and the decoded image (height, width, nChannels, data as BGR rows); files that do not decode are left out, or
+    with invalid kept with a null image."""
+    df = spark.read.format("image").option("dropInvalid", str(not invalid).lower()).load(folder)
+    return df.select("image.origin", F.when(F.col("image.height") > 0, F.col("image")).alias("image"))
 
 
 def split_inputs(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -44,3 +44,14 @@ def test_command_line(spark, data, tmp_path):
     assert spark.read.parquet(str(tmp_path / "envelope")).count() > 0
     with pytest.raises(SystemExit):
         job.main(["--tables", data, "--output", str(tmp_path), "--query", "nothing"], spark)
+
+
+def test_damaged_images_keep_their_row(spark, tmp_path):
+    png(tmp_path / "a.png", [[(255, 255, 255)] * 20] * 20)
+    (tmp_path / "b.png").write_bytes((tmp_path / "a.png").read_bytes()[:30])
+    (tmp_path / "c.TIFF").write_bytes(b"no image")
+    (tmp_path / "d.jpg").write_bytes(b"")
+    (tmp_path / "e.pdf").write_bytes(b"%PDF")
+    (tmp_path / "f.txt").write_text("x")
+    out = pipeline.process(spark, str(tmp_path), Registry(), spark.createDataFrame([("signature",)], "term string"))
+    assert sorted((r.file, r.page, r.error) for r in out["pages"].collect()) == [("a.png", 1, None), *((f, 1, "no image") for f in ("b.png", "c.TIFF", "d.jpg", "e.pdf"))]
