@@ -3,7 +3,7 @@
 Each typed name is read into parts: a person's given name (short forms, initials and one wrong letter allowed) and
 surname, in any order; an organisation's own name and its trade (abbreviations and wrong letters allowed), without legal
 form. Names of one kind with the same given name or trade are then joined on their remaining part by a pigeonhole
-segment join: a name is cut into k+1 segments, of which one survives k errors unchanged but for a shift; so the segments
+segment join: a name is cut into k+1 segments, of which one survives k errors unchanged but for a shift or a letter swapped across its end; so the segments
 stand in an inverted index by length and number, each name looks its shifted substrings up there, and a banded edit
 distance verifies what is found. A spelling follows its nearest, more frequent neighbour to the spelling that has none;
 names with only an initial follow the most frequent person of that surname and initial.
@@ -163,7 +163,11 @@ def cut(length: Column, i: int, pieces: int) -> tuple[Column, Column]:
 
 def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERRORS) -> DataFrame:
     """Pairs a, b (rows of `names` as structs) of one block whose texts have an edit distance, with swaps of
-    neighbours, from 1 to `most` (1 for texts under 7 letters). Every pair is found once each way."""
+    neighbours, from 1 to `most` (1 for texts under 7 letters). Every pair is found once each way.
+
+    An edit spoils one segment, but a swap across a cut spoils both beside it. The left one of those then stands in the
+    other text with the letter after it in place of its last, so that form is looked up too: each edit takes away one
+    segment at most, and one of k+1 is left."""
     pieces = most + 1
     n = F.length(text)
     # a number given keeps tasks as many as that, though each name grows to dozens of rows
@@ -174,7 +178,8 @@ def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERROR
         F.explode(F.array(*[F.struct(F.col(block).alias("blk"), n.alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1]).alias("s")) for i in range(pieces)])).alias("k"),
     )
     probes = [F.struct(F.col(block).alias("blk"), (n + d).alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n + d, i, pieces)[0] + 1 + shift, cut(n + d, i, pieces)[1]).alias("s"), (cut(n + d, i, pieces)[0] + shift).alias("at")) for d in range(-most, most + 1) for i in range(pieces) for shift in range(-most, most + 1)]
-    probe = base.select(F.col("row").alias("a"), F.explode(F.array_distinct(F.filter(F.array(*probes), lambda x: (x["len"] >= pieces) & (x["at"] >= 0) & (F.length(x["s"]) > 0)))).alias("k")).select("a", F.struct("k.blk", "k.len", "k.i", "k.s").alias("k")).distinct()
+    swapped = [F.struct(F.col(block).alias("blk"), (n + d).alias("len"), F.lit(i).alias("i"), F.concat(F.col(text).substr(cut(n + d, i, pieces)[0] + 1 + shift, cut(n + d, i, pieces)[1] - 1), F.col(text).substr(cut(n + d, i, pieces)[0] + cut(n + d, i, pieces)[1] + 1 + shift, F.lit(1))).alias("s"), (cut(n + d, i, pieces)[0] + shift).alias("at")) for d in range(-most, most + 1) for i in range(pieces - 1) for shift in range(-most, most + 1)]
+    probe = base.select(F.col("row").alias("a"), F.explode(F.array_distinct(F.filter(F.array(*probes, *swapped), lambda x: (x["len"] >= pieces) & (x["at"] >= 0) & (F.length(x["s"]) > 0)))).alias("k")).select("a", F.struct("k.blk", "k.len", "k.i", "k.s").alias("k")).distinct()
     limit = F.when(F.least(F.length(f"a.{text}"), F.length(f"b.{text}")) < 7, 1).otherwise(most)
     found = probe.join(index, "k").filter(F.col(f"a.{text}") != F.col(f"b.{text}")).select("a", "b").distinct()
     near = found.filter(F.levenshtein(f"a.{text}", f"b.{text}", 2 * most) >= 0)  # a swap counts two there

@@ -96,3 +96,19 @@ def test_entities_do_not_depend_on_how_often_rows_occur(spark):
 
     want = {frozenset(v for v, _ in names[:3]), frozenset(v for v, _ in names[3:5]), frozenset(v for v, _ in names[5:])}
     assert groups(10) == want
+
+
+def test_segment_join_finds_swaps_across_cuts(spark):
+    rng = random.Random(6)
+    texts = {"milmaigeoneon", "milamigeonxon"}
+    for _ in range(60):  # a swap and another edit, or two swaps
+        t = list(b := "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(3, 14))))
+        for k in (0, rng.randrange(4)):
+            i = rng.randrange(len(t) - 1)
+            t[i : i + 2] = [[t[i + 1], t[i]], [t[i]], [t[i], "x", t[i + 1]], ["x", t[i + 1]]][k]
+        texts |= {b, "".join(t)}
+    texts = {x for x in texts if len(x) >= 3}
+    df = spark.createDataFrame([(x, "k", x) for x in texts], "name string, block string, core string")
+    got = {(r.a.core, r.b.core) for r in N.segment_join(df, "block", "core").collect()}
+    assert ("milmaigeoneon", "milamigeonxon") in got
+    assert got == {(a, b) for a in texts for b in texts if a != b and plain_distance(a, b) <= (1 if min(len(a), len(b)) < 7 else 2)}
