@@ -167,19 +167,23 @@ def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERROR
 
     An edit spoils one segment, but a swap across a cut spoils both beside it. The left one of those then stands in the
     other text with the letter after it in place of its last, so that form is looked up too: each edit takes away one
-    segment at most, and one of k+1 is left."""
+    segment at most, and one of k+1 is left. Texts of fewer letters than segments, whose limit is one error, are joined by
+    their forms with one letter left out, among themselves and with texts of one letter more."""
     pieces = most + 1
     n = F.length(text)
     # a number given keeps tasks as many as that, though each name grows to dozens of rows
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = names.filter(n >= pieces).withColumn("row", F.struct(*names.columns)).repartition(tasks, text)
+    base = names.filter(n >= 1).withColumn("row", F.struct(*names.columns)).repartition(tasks, text)
+    fewer = F.array(F.col(text), *[F.concat(F.col(text).substr(1, i), F.col(text).substr(i + 2, pieces)) for i in range(pieces)])
+    none = F.filter(fewer, lambda x: F.lit(False))
+    forms = F.transform(F.array_distinct(F.when(n <= pieces, fewer).otherwise(none)), lambda x: F.struct(F.col(block).alias("blk"), F.lit(-1).alias("len"), F.lit(-1).alias("i"), x.alias("s")))
     index = base.select(
         F.col("row").alias("b"),
-        F.explode(F.array(*[F.struct(F.col(block).alias("blk"), n.alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1]).alias("s")) for i in range(pieces)])).alias("k"),
+        F.explode(F.concat(forms, F.filter(F.array(*[F.struct(F.col(block).alias("blk"), n.alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1]).alias("s")) for i in range(pieces)]), lambda x: x["len"] >= pieces))).alias("k"),
     )
     probes = [F.struct(F.col(block).alias("blk"), (n + d).alias("len"), F.lit(i).alias("i"), F.col(text).substr(cut(n + d, i, pieces)[0] + 1 + shift, cut(n + d, i, pieces)[1]).alias("s"), (cut(n + d, i, pieces)[0] + shift).alias("at")) for d in range(-most, most + 1) for i in range(pieces) for shift in range(-most, most + 1)]
     swapped = [F.struct(F.col(block).alias("blk"), (n + d).alias("len"), F.lit(i).alias("i"), F.concat(F.col(text).substr(cut(n + d, i, pieces)[0] + 1 + shift, cut(n + d, i, pieces)[1] - 1), F.col(text).substr(cut(n + d, i, pieces)[0] + cut(n + d, i, pieces)[1] + 1 + shift, F.lit(1))).alias("s"), (cut(n + d, i, pieces)[0] + shift).alias("at")) for d in range(-most, most + 1) for i in range(pieces - 1) for shift in range(-most, most + 1)]
-    probe = base.select(F.col("row").alias("a"), F.explode(F.array_distinct(F.filter(F.array(*probes, *swapped), lambda x: (x["len"] >= pieces) & (x["at"] >= 0) & (F.length(x["s"]) > 0)))).alias("k")).select("a", F.struct("k.blk", "k.len", "k.i", "k.s").alias("k")).distinct()
+    probe = base.select(F.col("row").alias("a"), F.explode(F.concat(forms, F.transform(F.filter(F.array(*probes, *swapped), lambda x: (x["len"] >= pieces) & (x["at"] >= 0) & (F.length(x["s"]) > 0)), lambda x: F.struct(x["blk"].alias("blk"), x["len"].alias("len"), x["i"].alias("i"), x["s"].alias("s"))))).alias("k")).distinct()
     limit = F.when(F.least(F.length(f"a.{text}"), F.length(f"b.{text}")) < 7, 1).otherwise(most)
     found = probe.join(index, "k").filter(F.col(f"a.{text}") != F.col(f"b.{text}")).select("a", "b").distinct()
     near = found.filter(F.levenshtein(f"a.{text}", f"b.{text}", 2 * most) >= 0)  # a swap counts two there

@@ -112,3 +112,10 @@ def test_segment_join_finds_swaps_across_cuts(spark):
     got = {(r.a.core, r.b.core) for r in N.segment_join(df, "block", "core").collect()}
     assert ("milmaigeoneon", "milamigeonxon") in got
     assert got == {(a, b) for a in texts for b in texts if a != b and plain_distance(a, b) <= (1 if min(len(a), len(b)) < 7 else 2)}
+
+
+def test_segment_join_of_short_names(spark):
+    texts = ["ng", "ngo", "gn", "li", "lim", "wu", "a", "ab", "wuxy"]
+    df = spark.createDataFrame([(x, "k", x) for x in texts], "name string, block string, core string")
+    got = {(r.a.core, r.b.core) for r in N.segment_join(df, "block", "core").collect()}
+    assert got == {(a, b) for a in texts for b in texts if a != b and plain_distance(a, b) <= 1} and ("ng", "ngo") in got
