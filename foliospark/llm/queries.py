@@ -94,13 +94,13 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p8_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Score, share of advertising and smoothed probability of every page with words or links."""
+    """Score and smoothed probability of every page with words or links."""
     return spam.spam_pages(table(spark, folder, "documents", "doc_id", "origin", "text")).drop("origin")
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id of every page that is more likely spam than not, by its smoothed score, and about half advertising."""
-    return p8_pages(spark, folder).filter((F.col("p") > 0.5) & (F.col("spam_share") > spam.LEAST_SHARE)).select("doc_id").distinct()
+    """doc_id of every page that is more likely spam than not by its smoothed score."""
+    return p8_pages(spark, folder).filter(F.col("p") > 0.5).select("doc_id").distinct()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

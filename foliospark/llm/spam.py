@@ -1,24 +1,27 @@
 """Problem 8: keyword-stuffed and link-list pages.
 
-One narrow pass turns each text into content and link features and, where the case is clear, a weak label: a text is cut
-into lines and sentences, each of which is a sentence, a list item with amounts, or advertising (links, tags, model
-numbers, disguised words, or keywords that the text repeats), and the shares of characters decide. Bagged decision trees
-are trained on a bounded sample of weak labels and score every page; the page's score is then smoothed by the spam rate
-of its host.
+One narrow pass turns each text into raw measures of its content and links: how well it compresses, how its words and word
+pairs repeat, how often function words come, how long the runs without one are, how much of it is links, marks, codes and
+numbers, and how its lines look. None of them says what spam is. Nine weak signals, each of one side of a page, vote spam or
+honest or abstain; a page with two votes for a side, and more than for the other, is weakly labelled, others stay unlabelled. Bagged decision trees
+trained on a bounded sample of weak labels score every page. The score's log odds are then moved by those of the spam rate
+of the page's host, without the page itself, by a weight fitted on pages that a tree has not seen.
 
 Defined cases: null, empty and blank texts are no spam; equal texts have equal features; a page of no host is scored
-alone. Scores have no cut on length: whole texts are read.
+alone; where no page has a weak label, or all have the same, every page scores alike and none is spam unless all are
+labelled so. Scores have no cut on length: whole texts are read.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import hash_sample, written
@@ -34,116 +37,85 @@ FUNCTION_WORDS = frozenset(
 )
 URL = re.compile(r"(?:https?|hxxps?)://\S+|\bwww\.\S+|\b[a-z0-9-]{3,}(?:\.[a-z0-9-]{3,})+(?:/[^\s)>\"]*)?")
 WORD = re.compile(r"[^\W\d_]+")
-LEET = re.compile(r"(?=\w*[^\W\d_])(?=[^\W\d_]*[\d@$])[\w@$]*[^\W\d_][\d@$]+[^\W\d_][\w@$]*|[@$013][^\W\d_]{2,}[\w@$]*|[^\W\d_]{2,}[@013]")
-CODE = re.compile(r"\b[A-Z]{2,4}-\d{2,5}[A-Za-z]{0,3}\b")
-NUMBER = re.compile(r"(?<![\w-])\d[\d.,]*(?![\w-])")
-LINE = re.compile(r"[\n\r]+")
-SENTENCE = re.compile(r"(?<=[^\W\d_][.!?])\s+(?=[^\W\da-zà-öø-ÿçğış]|[¿¡\"«“(])|(?<=[!?])\s+")
-LEADER = re.compile(r"(?:\.{3,}|(?:\. ){3,}|_{3,})\s*\d+\s*$")
-UNLEET = str.maketrans("0134@$5", "oieaasS".lower())
+MIXED = re.compile(r"[^\W\d_][\d@$]|[\d@$][^\W\d_]")
+MARKS = "#|;/»•<>[]·*=~"
+UNLEET = str.maketrans("0134@$5", "oieaass")
 FEATURES = (
-    "spam_share", "sentence_share", "item_share", "url_share", "url_per_word", "leet_share", "code_share", "number_share", "top_word", "top_bigram", "keyword_cover",
-    "function_share", "distinct_share", "mark_share", "unit_words", "end_marks", "log_words", "log_units", "anchor_share", "distinct_units",
+    "compressed", "function_share", "gap_share", "longest_gap", "distinct_share", "top_word", "top_five", "pair_repeats", "near_repeats", "url_share", "url_per_word", "linked_lines", "mixed_share", "number_share", "number_variety",
+    "leaders", "mark_share", "anchor_share", "line_words", "line_distinct", "line_heads", "line_ends", "line_numbers", "ends_per_word", "commas_per_word", "capitals", "word_length", "log_words", "log_lines",
 )
+AT = {name: i for i, name in enumerate(FEATURES)}
+#: A run of so many words without a function word counts as a gap; a content word counts as a near repeat within so many.
+GAP, NEAR = 7, 24
 #: Weakly labelled pages the trees are trained on, at most.
-TRAIN_PAGES = 4000
-TREES, DEPTH, LEAST_LEAF, BINS, SEED = 31, 6, 8, 32, 17
-#: Shares of advertising beyond which a weak label is given.
-CLEAR_SPAM, CLEAR_HONEST = 0.6, 0.4
-#: Weight of the host's log odds, and pages that the overall rate counts as in a host's rate.
-HOST_WEIGHT, HOST_PRIOR = 0.15, 20.0
-#: Share of advertising that a page needs beside its score: spam is what fills more than half of a text, up to the error
-#: of cutting it into units.
-LEAST_SHARE = 0.42
+TRAIN_PAGES = 8000
+TREES, DEPTH, LEAST_LEAF, BINS, SEED = 31, 7, 6, 32, 17
+#: Pages that the overall rate counts as in a host's rate; bounds of rates and scores before their odds are taken.
+HOST_PRIOR, CLIP = 20.0, 0.002
 SALT = 16
 
 
 def features(text: str) -> list[float] | None:
     """Values of FEATURES, None for a text without words and links."""
-    lowered = text.lower()
-    urls = URL.findall(lowered) if "." in text or "://" in text else []
-    all_tokens = max(1, len(text.split()))
-    leets = len(LEET.findall(text))
-    codes_all = len(CODE.findall(text))
-    numbers_all = len(NUMBER.findall(text))
-    disguised = leets > 0.05 * all_tokens
-    plain = lowered.translate(UNLEET) if disguised else lowered
-    words = WORD.findall(URL.sub(" ", plain) if urls else plain)
+    low = text.lower()
+    tokens = text.split()
+    t = max(1, len(tokens))
+    mixed = sum(1 for x in tokens if MIXED.search(x))
+    urls = URL.findall(low) if "." in text or "://" in text else []
+    bare = URL.sub(" ", low) if urls else low
+    words = WORD.findall(bare.translate(UNLEET) if mixed > 0.2 * t else bare)
     if not words and not urls:
         return None
     n = max(1, len(words))
+    is_function = FUNCTION_WORDS.__contains__
     counts = Counter(words)
-    for w in FUNCTION_WORDS.intersection(counts):
-        del counts[w]
-    least = max(4, 0.03 * n)
-    keywords = {w for w, c in counts.items() if c >= least and len(w) > 2}
-    size = spam = sentence = item = anchors = n_units = 0
-    units = set()
-    for line in filter(None, map(str.strip, LINE.split(text))):
-        leader = LEADER.search(line)
-        for u in [line] if leader else filter(None, map(str.strip, SENTENCE.split(line))):
-            chars = len(u)
-            size += chars
-            n_units += 1
-            units.add(u)
-            low = u.lower()
-            links = URL.findall(low) if urls and ("." in u or ":" in u) else []
-            rest = URL.sub(" ", low) if links else low
-            uw = WORD.findall(rest.translate(UNLEET) if disguised else rest)
-            k = len(uw)
-            numbers = len(NUMBER.findall(rest)) if numbers_all else 0
-            func = sum(map(FUNCTION_WORDS.__contains__, uw))
-            cover = sum(map(keywords.__contains__, uw)) / max(1, k)
-            tokens = u.split()
-            leet = len(LEET.findall(u)) / max(1, len(tokens)) if disguised else 0
-            codes = len(CODE.findall(u)) if codes_all >= 6 else 0
-            distinct = len(set(uw)) / max(1, k)
-            said = [w for w in uw if w not in FUNCTION_WORDS]
-            fresh = len(set(said)) >= 0.95 * len(said)  # a sentence that stuffs keywords repeats them within itself
-            whole = k >= 6 and (distinct >= 0.8 or fresh) and u[-1] in ".!?"
-            tags = u.count("#") if "#" in u else u.count("[") if "[" in u else 0
-            if leader:
-                item += chars
-            elif "<a " in u or "</a>" in u:
-                anchors += chars
-                spam += chars
-            elif links and (sum(map(len, links)) > 0.35 * chars or (func < 0.1 * k and k <= 6 * len(links))):
-                spam += chars
-            elif codes >= 6 and codes > 0.2 * (k + numbers) and numbers < codes / 2:
-                spam += chars
-            elif leet > 0.2 and len(tokens) >= 4 and func < 0.2 * k:
-                spam += chars
-            elif tags >= 1 and tags >= 0.3 * len(tokens) and cover + tags / max(1, len(tokens)) > 0.5:
-                spam += chars
-            elif numbers >= 2 and k <= 14 * numbers and func < 0.4 * k and (k <= 10 or not (cover > 0.6 and numbers < 0.35 * k)):
-                item += chars
-            elif k >= 2 and (cover >= 0.3 and (distinct < 0.85 or func < 0.2 * k) or cover >= 0.26 and distinct < 0.8 or k <= 6 and cover >= 0.4) and not (whole and (cover < 0.45 or distinct >= 0.9 or fresh)):
-                spam += chars
-            elif k == 1 and cover == 1:
-                spam += chars
-            elif k >= 4 and (func >= 0.12 * k or whole):
-                sentence += chars
-            elif numbers and k <= 10:
-                item += chars
-    size = max(1, size)
-    top_word = max(counts.values(), default=0) / n
-    bigrams = Counter(zip(words, words[1:]))
-    top_bigram = next((c for (x, y), c in bigrams.most_common(40) if x not in FUNCTION_WORDS and y not in FUNCTION_WORDS), 0)
+    content = sorted((c for w, c in counts.items() if not is_function(w)), reverse=True)
+    at = [i for i, w in enumerate(words) if is_function(w)]
+    gaps = np.diff(np.array([-1, *at, n])) - 1
+    pairs = Counter(zip(words, words[1:]))
+    last: dict[str, int] = {}
+    near = 0
+    for i, w in enumerate(words):
+        if i - last.get(w, -NEAR - 1) <= NEAR and not is_function(w):
+            near += 1
+        last[w] = i
+    lines = [x for x in map(str.strip, text.splitlines()) if x] or [text]
+    m = len(lines)
+    ends = sum(map(text.count, ".!?"))
+    numbers = [x for x in tokens if x[0].isdigit() and not MIXED.search(x)]
+    raw = text.encode("utf-8", "replace")
     return [
-        spam / size, sentence / size, item / size, sum(map(len, urls)) / max(1, len(text)), len(urls) / n, leets / all_tokens, codes_all / all_tokens, numbers_all / all_tokens,
-        top_word, top_bigram / n, sum(counts[w] for w in keywords) / n, 1 - sum(counts.values()) / n, len(set(words)) / n**0.85, sum(map(text.count, "|;/»•>[]#!")) / all_tokens,
-        n / max(1, n_units), sum(map(text.count, ".!?")) / n, float(np.log1p(n)), float(np.log1p(n_units)), anchors / size, len(units) / max(1, n_units),
+        len(zlib.compress(raw, 1)) / (len(raw) + 40), len(at) / n, float(gaps[gaps >= GAP].sum()) / n, float(np.log1p(gaps.max())), len(counts) / n**0.85, (content[0] if content else 0) / n,
+        sum(content[:5]) / n, sum(c for c in pairs.values() if c > 1) / n, near / n, sum(map(len, urls)) / max(1, len(text)), len(urls) / n, sum("://" in x or "www." in x for x in lines) / m,
+        mixed / t, len(numbers) / t, len(set(numbers)) / t, text.count("....") / m, sum(map(text.count, MARKS)) / t, (low.count("<a ") + low.count("[url")) / n,
+        n / m, len(set(lines)) / m, len({x.split(" ", 1)[0] for x in lines}) / m, sum(x[-1] in ".!?" for x in lines) / m, sum(x[-1].isdigit() for x in lines) / m, ends / n, text.count(",") / n,
+        sum(x[0].isupper() for x in tokens) / t, sum(map(len, words)) / n, float(np.log1p(n)), float(np.log1p(m)),
     ]
 
 
+def votes(f: list[float]) -> list[int]:
+    """What each weak signal says of a page: 1 spam, -1 honest, 0 nothing. Each looks at another side of it: words that
+    come again at once, packing, links, running prose, amounts, one leading word, words with digits in them, lines that end in figures, marks."""
+    x = dict(zip(FEATURES, f))
+    linked = x["url_per_word"] > 0.05
+    return [
+        1 if x["near_repeats"] > 0.5 else -1 if x["near_repeats"] < 0.12 and not linked and x["log_words"] > 3 else 0,
+        1 if x["compressed"] < 0.25 and x["log_words"] > 4 else -1 if x["compressed"] > 0.55 and not linked else 0,
+        1 if x["url_per_word"] > 0.12 and x["function_share"] < 0.12 or x["anchor_share"] > 0.05 else 0,
+        -1 if x["function_share"] > 0.2 and x["gap_share"] < 0.35 and x["top_word"] < 0.06 else 1 if x["function_share"] < 0.02 and x["number_share"] < 0.03 and x["log_words"] > 4 else 0,
+        -1 if x["number_variety"] > 0.08 or x["leaders"] > 0.5 else 0,
+        1 if x["top_word"] > 0.12 and x["number_share"] < 0.1 else -1 if x["top_word"] < 0.04 and not linked else 0,
+        1 if x["mixed_share"] > 0.3 else 0,
+        -1 if x["line_numbers"] > 0.6 and x["line_distinct"] > 0.95 and x["log_lines"] > 1.5 else 0,
+        1 if x["mark_share"] > 0.6 and x["function_share"] < 0.05 and x["leaders"] == 0 else 0,
+    ]
+
+
 def weak_label(f: list[float]) -> int | None:
-    """1 for clear spam, 0 for clearly honest, None between."""
-    spam, sentence, item = f[0], f[1], f[2]
-    if spam > CLEAR_SPAM and sentence < 0.35 and item < 0.3:
-        return 1
-    if spam < CLEAR_HONEST and sentence + item > 0.55 or spam < 0.1:
-        return 0
-    return None
+    """The side that at least two signals vote for and more than for the other, None where there is none."""
+    v = votes(f)
+    spam, honest = v.count(1), v.count(-1)
+    return 1 if spam >= 2 and spam > honest else 0 if honest >= 2 and honest > spam else None
 
 
 def page_features(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "origin"), text: str = "text") -> DataFrame:
@@ -172,6 +144,11 @@ class Trees:
 
     def __init__(self, edges: list[np.ndarray], trees: list[np.ndarray]):
         self.edges, self.trees = edges, trees
+        #: Of each training page, the mean score of the trees that did not see it; not sent to the workers.
+        self.unseen = np.zeros(0)
+
+    def __getstate__(self) -> dict:
+        return {"edges": self.edges, "trees": self.trees, "unseen": np.zeros(0)}
 
     @staticmethod
     def fit(x: np.ndarray, y: np.ndarray) -> "Trees":
@@ -181,7 +158,8 @@ class Trees:
         third = max(2, x.shape[1] // 3)
         rarer = int(min(y.sum(), len(y) - y.sum()))
         least = max(1, min(LEAST_LEAF, rarer // 4))  # few pages of a kind need small leaves
-        trees = []
+        trees: list[np.ndarray] = []
+        unseen, times = np.zeros(len(y)), np.zeros(len(y))
         for _ in range(TREES):
             rows: list[list[float]] = []
 
@@ -209,61 +187,105 @@ class Trees:
                     rows[me][3] = grow(at[~left], depth + 1)
                 return me
 
-            grow(rng.integers(0, len(y), len(y)), 0)
+            seen = rng.integers(0, len(y), len(y))
+            grow(seen, 0)
             trees.append(np.array(rows))
-        return Trees(edges, trees)
+            out = np.bincount(seen, minlength=len(y)) == 0
+            unseen += np.where(out, Trees.walk(trees[-1], binned), 0)
+            times += out
+        model = Trees(edges, trees)
+        model.unseen = np.where(times > 0, unseen / np.maximum(times, 1), y.mean())
+        return model
+
+    @staticmethod
+    def walk(tree: np.ndarray, binned: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(binned), np.int64)
+        for _ in range(DEPTH):
+            j = tree[at, 0].astype(np.int64)
+            left = binned[np.arange(len(binned)), np.maximum(j, 0)] <= tree[at, 1]
+            at = np.where(j >= 0, np.where(left, tree[at, 2], tree[at, 3]).astype(np.int64), at)
+        return tree[at, 4]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)], 1)
-        total = np.zeros(len(x))
-        for t in self.trees:
-            at = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
-                j = t[at, 0].astype(np.int64)
-                go = j >= 0
-                left = binned[np.arange(len(x)), np.maximum(j, 0)] <= t[at, 1]
-                at = np.where(go, np.where(left, t[at, 2], t[at, 3]).astype(np.int64), at)
-            total += t[at, 4]
-        return total / len(self.trees)
-
-
-def train(pages: DataFrame) -> Trees:
-    """Trees from at most TRAIN_PAGES weakly labelled pages, chosen by a hash of their id, spam and honest alike."""
+        return np.mean([self.walk(t, binned) for t in self.trees], 0)
+
+
+def train(pages: DataFrame) -> tuple[Trees, list[tuple[str | None, float, int]]]:
+    """Trees from at most TRAIN_PAGES weakly labelled pages, chosen by a hash of their id, spam and honest alike; and of
+    each of these pages with a host (host, score of the trees that did not see it, label)."""
+    totals = dict(pages.groupBy("weak").count().collect())
     rows = []
     for label in (0, 1):
-        rows += hash_sample(pages.filter(F.col("weak") == label).select("doc_id", "f", "weak"), "doc_id", TRAIN_PAGES // 2).select("f", "weak").collect()
+        if n := totals.get(label):
+            rows += hash_sample(pages.filter(F.col("weak") == label).select("doc_id", "origin", "f", "weak"), "doc_id", TRAIN_PAGES // 2, total=n).select("origin", "f", "weak").collect()
     if not rows:
-        rows = [(np.zeros(len(FEATURES)), 0)]
-    return Trees.fit(np.array([r[0] for r in rows], np.float32), np.array([r[1] for r in rows], np.float64))
+        return Trees.fit(np.zeros((1, len(FEATURES)), np.float32), np.zeros(1)), []
+    model = Trees.fit(np.array([r.f for r in rows], np.float32), np.array([r.weak for r in rows], np.float64))
+    return model, [(r.origin, float(p), r.weak) for r, p in zip(rows, model.unseen) if r.origin is not None]
 
 
 def scored(pages: DataFrame, model: Trees) -> DataFrame:
-    """doc_id, origin, the trees' score and the share of advertising."""
+    """doc_id, origin and the trees' score."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array(b.column(2).flatten(), np.float32).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared.value.predict(x)), pa.array(x[:, 0].astype(np.float64))], names=["doc_id", "origin", "score", "spam_share"])
-
-    return pages.select("doc_id", "origin", "f").mapInArrow(run, "doc_id bigint, origin string, score double, spam_share double")
-
-
-def smoothed(scores: DataFrame) -> DataFrame:
-    """Adds `p`: the score with the host's log odds against the overall ones. The rates are aggregated before they are
-    joined, and each host's is repeated SALT times so that a host with most of the pages is spread over tasks."""
-    hosts = scores.filter("origin is not null").groupBy("origin").agg(F.sum("score").alias("s"), F.count("*").alias("n"))
-    overall = scores.agg(F.avg("score").alias("base"))
-    rates = hosts.crossJoin(F.broadcast(overall)).select("origin", "base", ((F.col("s") + HOST_PRIOR * F.col("base")) / (F.col("n") + HOST_PRIOR)).alias("rate"))
-    rates = rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    clipped = lambda c: F.least(F.greatest(c, F.lit(0.002)), F.lit(0.998))
-    odds = lambda c: F.log(clipped(c) / (1 - clipped(c)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared.value.predict(x))], names=["doc_id", "origin", "score"])
+
+    return pages.select("doc_id", "origin", "f").mapInArrow(run, "doc_id bigint, origin string, score double")
+
+
+def odds(p):
+    """Log odds of a probability (number, array or column), bounded."""
+    if isinstance(p, Column):
+        c = F.least(F.greatest(p, F.lit(CLIP)), F.lit(1 - CLIP))
+        return F.log(c / (1 - c))
+    c = np.clip(p, CLIP, 1 - CLIP)
+    return np.log(c / (1 - c))
+
+
+def without_self(s, n, score, base):
+    """The spam rate of a host without the page itself; the overall rate counts as HOST_PRIOR pages."""
+    return (s - score + HOST_PRIOR * base) / (n - 1 + HOST_PRIOR)
+
+
+def host_weight(hosts: DataFrame, base: float, sample: list[tuple[str, float, int]]) -> float:
+    """The weight of the host's log odds that fits the labels of the training pages best beside the scores of trees that
+    did not see them: least log loss with a weak pull to 0, by Newton's method. Rates come for hosts of the sample only."""
+    if not sample:
+        return 0.0
+    spark = hosts.sparkSession
+    wanted = spark.createDataFrame([(o,) for o in sorted({o for o, _, _ in sample})], "origin string")
+    rates = {r.origin: (r.s, r.n) for r in hosts.join(F.broadcast(wanted), "origin").collect()}
+    p, y = np.array([x[1] for x in sample]), np.array([x[2] for x in sample], float)
+    s, n = (np.array([rates[o][i] for o, _, _ in sample], float) for i in (0, 1))
+    shift = odds(without_self(s, n, p, base)) - odds(base)
+    w = 0.0
+    for _ in range(20):
+        q = 1 / (1 + np.exp(-(odds(p) + w * shift)))
+        w -= ((q - y) @ shift + w) / ((q * (1 - q)) @ shift**2 + 1.0)
+    return float(np.clip(w, 0.0, 1.0))
+
+
+def smoothed(scores: DataFrame, sample: list[tuple[str, float, int]]) -> DataFrame:
+    """Adds `p`: the score with the log odds of its host's rate against the overall one, by the fitted weight. The rates are
+    aggregated before they are joined, and each host's is repeated SALT times so that a host with most of the pages is
+    spread over tasks."""
+    hosts = written(scores.groupBy("origin").agg(F.sum("score").alias("s"), F.count("*").alias("n")), "spam-hosts")
+    s, n = hosts.agg(F.sum("s"), F.sum("n")).first()
+    base = s / n if n else 0.5
+    weight = host_weight(hosts, base, sample)
+    rates = hosts.filter("origin is not null").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     joined = scores.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")).join(rates, ["origin", "salt"], "left")
-    shift = F.coalesce(HOST_WEIGHT * (odds(F.col("rate")) - odds(F.col("base"))), F.lit(0.0))
-    return joined.select("doc_id", "origin", "score", "spam_share", (1 / (1 + F.exp(-(odds(F.col("score")) + shift)))).alias("p"))
+    rate = without_self(F.col("s"), F.col("n"), F.col("score"), F.lit(base))
+    shift = F.when(F.col("n").isNotNull(), F.lit(weight) * (odds(rate) - float(odds(base)))).otherwise(0.0)
+    return joined.select("doc_id", "origin", "score", (1 / (1 + F.exp(-(odds(F.col("score")) + shift)))).alias("p"))
 
 
 def spam_pages(docs: DataFrame) -> DataFrame:
-    """doc_id, origin, score, spam_share, p of every page with words or links."""
+    """doc_id, origin, score and p of every page with words or links."""
     pages = written(page_features(docs), "spam-features")
-    return smoothed(scored(pages, train(pages)))
+    model, sample = train(pages)
+    return smoothed(written(scored(pages, model), "spam-scores"), sample)
