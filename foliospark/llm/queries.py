@@ -17,21 +17,21 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, folder, "documents", "doc_id", "text"))
 
 
-def scanned(spark: SparkSession, folder: str) -> DataFrame:
-    elements = table(spark, folder, "elements", "elem_id", "file", "page", "block_idx", "content", "bounding_box")
-    return scan.page_texts(elements, table(spark, folder, "borderless_rows", "row_id", "file", "page", "c6"))
+def scanned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    elements = table(spark, folder, "elements", "elem_id", "file", "page", "block_idx", "content", "bounding_box", "ingested_at")
+    return scan.page_texts(elements, table(spark, folder, "borderless_rows", "row_id", "file", "page", "c6")), table(spark, folder, "page_meta", "file", "page", "page_width", "page_height")
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Words divided at line ends, misread words, running heads and page numbers, with their right form."""
-    texts = scanned(spark, folder)
-    return scan.found_cases(texts, scan.fit(texts)).distinct()
+    texts, pages = scanned(spark, folder)
+    return scan.found_cases(texts, scan.fit(texts, pages)).distinct()
 
 
 def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     """Every text of elements and remarks repaired into continuous paragraphs; what holds only furniture is empty."""
-    texts = scanned(spark, folder)
-    return scan.repaired(texts, scan.fit(texts)).select("src", "row_id", "repaired").distinct()
+    texts, pages = scanned(spark, folder)
+    return scan.repaired(texts, scan.fit(texts, pages)).select("src", "row_id", "repaired").distinct()
 
 
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
