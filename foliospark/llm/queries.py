@@ -34,23 +34,27 @@ def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return scan.repaired(texts, scan.fit(texts, pages)).select("src", "row_id", "repaired").distinct()
 
 
-def personal_data(spark: SparkSession, folder: str) -> DataFrame:
-    words = pii.vocabulary(table(spark, folder, "dictionary", "term"))
+def personal_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, tuple]:
+    """The elements and form fields with a text, and what the corpus tells of words and names."""
     elements = table(spark, folder, "elements", "elem_id", "content").filter("content is not null and content != ''")
     fields = table(spark, folder, "form_fields", "field_id", "value", "field_key").filter("value is not null and value != ''")
-    found = [pii.personal_data(elements, words, "elem_id", "content"), pii.personal_data(fields, words, "field_id", "value", "field_key")]
-    return found[0].select(F.lit("elements").alias("src"), "*").unionByName(found[1].select(F.lit("form_fields").alias("src"), "*"))
+    return elements, fields, pii.known_of(table(spark, folder, "dictionary", "term"), elements.select(F.col("content").alias("text")), fields)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """src, row_id, kind and start of every case of personal data."""
-    return personal_data(spark, folder).select("src", "row_id", "kind", "start_pos").distinct()
+    elements, fields, known = personal_tables(spark, folder)
+    found = pii.personal_data(elements, known, "elem_id", "content").select(F.lit("elements").alias("src"), "*")
+    found = found.unionByName(pii.personal_data(fields, known, "field_id", "value", "field_key").select(F.lit("form_fields").alias("src"), "*"))
+    return found.select("src", "row_id", "kind", "start_pos").distinct()
 
 
 def p3_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    """The contents of all elements with typed placeholders in place of personal data."""
-    words = pii.vocabulary(table(spark, folder, "dictionary", "term"))
-    return pii.redact(table(spark, folder, "elements", "elem_id", "content"), words, ("elem_id",), "content").distinct()
+    """src, row_id and the text of all elements and form fields with typed placeholders in place of personal data."""
+    elements, fields, known = personal_tables(spark, folder)
+    texts = pii.redact(elements, known, ("elem_id",), "content").select(F.lit("elements").alias("src"), F.col("elem_id").alias("row_id"), "redacted")
+    values = pii.redact(fields, known, ("field_id",), "value", "field_key").select(F.lit("form_fields").alias("src"), F.col("field_id").alias("row_id"), "redacted")
+    return texts.unionByName(values).distinct()
 
 
 def p4_entities(spark: SparkSession, folder: str) -> DataFrame:

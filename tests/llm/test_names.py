@@ -5,6 +5,9 @@ import random
 import pytest
 
 from foliospark.llm import names as N
+from foliospark.llm.lore import Lore
+
+LORE = Lore({"elizabeth": "elizabeth", "beth": "elizabeth", "robert": "robert", "bob": "robert", "lorenzo": "lorenzo"}, {"manufacturing": "manufacturing", "manuf": "manufacturing", "mfg": "manufacturing", "plumbing": "plumbing"}, frozenset({"beth", "bob"}))
 
 
 @pytest.mark.parametrize(
@@ -15,7 +18,33 @@ from foliospark.llm import names as N
     ],
 )
 def test_reading(value, want):
-    assert N.read_name(value) == want
+    got = N.Reader(LORE).read(value)
+    assert got == (want and (*want, True))
+
+
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [
+        ("Brandon Whitfield", ("person", "brandon", "b", "whitfield", False)), ("Whitfield, Bruno", ("person", "bruno", "b", "whitfield", False)), ("Acme Plumbing", ("org", "plumbing", "", "acme", True)), ("Acme Roofing", ("org", "roofing", "", "acme", True)), ("Robert Fleming", ("person", "robert", "r", "fleming", True)), ("Fleming, Brandon", ("person", "brandon", "b", "fleming", False)), ("Kestrel Roofing Ltd", ("org", "roofing", "", "kestrel", True)), ("Kestrel Ltd", ("org", "", "", "kestrel", True)),
+    ],
+)
+def test_reading_of_no_list(value, want):
+    assert N.Reader(LORE).read(value) == want
+
+
+def test_near_forms_against_all_forms():
+    rng = random.Random(8)
+    forms = {"".join(rng.choice("abcde") for _ in range(rng.randint(5, 9))): "" for _ in range(200)}
+    forms = {f: f for f in forms}
+    near = N.Near(forms, lambda w: 2 if len(w) >= 7 else 1)
+    for f in rng.sample(sorted(forms), 80):
+        w = list(f)
+        i = rng.randrange(len(w))
+        w[i : i + 1] = [[], ["x"], [w[i], "x"]][rng.randrange(3)]
+        w = "".join(w)
+        most = 2 if len(w) >= 7 else 1
+        want = min(((d, g) for g in forms if (d := plain_distance(w, g)) <= most), default=None)
+        assert near[w] == (want and want[1])
 
 
 def plain_distance(a, b):
@@ -119,3 +148,22 @@ def test_segment_join_of_short_names(spark):
     df = spark.createDataFrame([(x, "k", x) for x in texts], "name string, block string, core string")
     got = {(r.a.core, r.b.core) for r in N.segment_join(df, "block", "core").collect()}
     assert got == {(a, b) for a in texts for b in texts if a != b and plain_distance(a, b) <= 1} and ("ng", "ngo") in got
+
+
+def groups_of(spark, values):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(list(enumerate(values)), "field_id bigint, value string").withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    return {frozenset(r.v) for r in N.entities(df).join(df, "field_id").groupBy("entity").agg(F.collect_set("value").alias("v")).collect()}
+
+
+def test_people_with_unknown_given_names_stay_apart(spark):
+    values = ["Brandon Whitfield"] * 3 + ["Brandn Whitfield", "Brandon Whitfeild", "Barbara Whitfield", "Whitfield, Bruno", "Acme Plumbing", "Acme Plumbing Ltd"]
+    assert groups_of(spark, values) == {frozenset(["Brandon Whitfield", "Brandn Whitfield", "Brandon Whitfeild"]), frozenset(["Barbara Whitfield"]), frozenset(["Whitfield, Bruno"]), frozenset(["Acme Plumbing", "Acme Plumbing Ltd"])}
+
+
+def test_pairs_of_a_large_entity_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(N, "CHUNK", 7)
+    rows = [(i, "big") for i in range(50)] + [(100, "two"), (101, "two"), (200, "one"), (300, None)]
+    got = [tuple(r) for r in N.same_entity_pairs(spark.createDataFrame(rows, "field_id bigint, entity string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in range(50) for b in range(a + 1, 50)} | {(100, 101)}

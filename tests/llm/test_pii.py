@@ -3,8 +3,10 @@ from __future__ import annotations
 import pytest
 
 from foliospark.llm import pii as P
+from foliospark.llm.lore import Lore, learn
 
-FIND = P.Finder(frozenset("the and is claimant gave passport as proof of identity lives at please call order invoice on".split())).find
+LORE = Lore({n: n for n in "chiara dolores ayse lorenzo".split()}, {"foods": "foods"})
+FIND = P.Finder(frozenset("the and is claimant gave passport as proof of identity lives at please call order invoice on at by signed with".split()), LORE).find
 
 
 @pytest.mark.parametrize(
@@ -45,8 +47,63 @@ def test_fields():
 
 def test_table(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, "x@y.test", "a"), (3, "x@y.test", "a"), (4, "z " * 50000 + "x@y.test", "a")], "elem_id bigint, content string, kind string")
-    got = sorted((r.row_id, r.kind, r.start_pos) for r in P.personal_data(df, frozenset(), "elem_id", "content").collect())
+    got = sorted((r.row_id, r.kind, r.start_pos) for r in P.personal_data(df, (frozenset(), Lore()), "elem_id", "content").collect())
     assert got == [(3, "email", 0), (3, "email", 0), (4, "email", 100000)]
-    assert P.personal_data(df.limit(0), frozenset(), "elem_id", "content").count() == 0
-    red = {r.elem_id: r.redacted for r in P.redact(df.filter("elem_id < 4"), frozenset(), ("elem_id",), "content").collect()}
+    assert P.personal_data(df.limit(0), (frozenset(), Lore()), "elem_id", "content").count() == 0
+    red = {r.elem_id: r.redacted for r in P.redact(df.filter("elem_id < 4"), (frozenset(), Lore()), ("elem_id",), "content").collect()}
     assert red == {1: None, 2: "", 3: "[EMAIL]"}
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("please call Brandon Whitfield on the invoice", ["Brandon Whitfield"]), ("signed by Svetlana Petrova and Hiroshi Tanaka at the office", ["Svetlana Petrova", "Hiroshi Tanaka"]), ("Kevin J. O'Donnell gave his passport as proof", ["Kevin J. O'Donnell"]),
+        ("the order by Kestrel Foods is lost", []), ("the order by Brandon Whitfield Ltd is lost", []), ("it lives at 102C Mill Pond Road, Dunsley Cross and is old", []), ("Northmoor Bulk Archive", []), ("Please Call", []),
+    ],
+)
+def test_names_of_no_list(text, want):
+    assert [text[a:b] for k, a, b in FIND(text) if k == "name"] == want
+
+
+@pytest.mark.parametrize(
+    ("text", "phone"),
+    [
+        ("020 7946 0958", True), ("030 123456", True), ("01632 960 983", True), ("0555 010 01 01", True), ("01 23 45 67 89", True), ("000 5550498", True), ("212-555-0142", True), ("1 212 555 0142", True), ("912 345 678", True), ("347 1234567", True), ("(555) 018-5509", True), ("+44 20 7946 0958", True), ("0049 30 2312597", True), ("555-0142", True),
+        ("1234 5678", False), ("12/25/2005", False), ("100 200 300", False), ("5 165,97", False), ("12345678", False),
+    ],
+)
+def test_phone_plans(text, phone):
+    assert [k for k, _, _ in FIND(f"see {text} there")] == (["phone"] if phone else [])
+
+
+def test_spelled_digits_of_any_case_and_language():
+    for words in ("FIVE FIVE FIVE ZERO ONE EIGHT FIVE FIVE ZERO NINE", "five five five zero one eight five five zero nine", "cinq cinq cinq zéro un huit cinq cinq zéro neuf", "fünf fünf fünf null eins acht fünf fünf null neun", "cinco cinco cinco cero uno ocho cinco cinco cero nueve", "beş beş beş sıfır bir sekiz beş beş sıfır dokuz"):
+        assert FIND(f"call {words} today") == [("phone", 5, 5 + len(words))], words
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("12 rue de la Paix, 75002 Paris", "[ADDRESS]"), ("lives at 22 Rowan Lane, Velmouth QX1 8ZZ. Then", "lives at [ADDRESS]. Then"), ("at Değirmen Cad. No:169 Kat 2, 99395 Yenibağ. Then", "at [ADDRESS]. Then"), ("Postfach 188, 00710 Brunnstadt", "[ADDRESS]"),
+        ("P.O. Box 207, Dunsley Cross\nTel. 555 018 5509", "[ADDRESS]\nTel. [PHONE]"), ("5 Old Ferry Court, Chiara Lashreretell gave", "[ADDRESS], [NAME] gave"),
+    ],
+)
+def test_whole_addresses_are_redacted(text, want):
+    assert P.redacted(text, FIND(text)) == want
+
+
+def test_lore_is_learned_from_typed_names(spark):
+    surnames = ["Whitfield", "Okafor", "Tanaka", "Petrova", "Lindqvist", "Moreau"]
+    values = [f"{g} {s}" for g in ("Brandon", "Svetlana") for s in surnames] + [f"{s}, Priya" for s in surnames] + ["Brandno Whitfield"] + [f'Svetlana "Lana" {s}' for s in surnames]
+    values += [f"{c} {t} Ltd" for c in ("Acme", "Kestrel", "Borealis") for t in ("Roofing", "Rfg")] + ["File copy", "", None, "Zed"]
+    lore = learn(spark.createDataFrame([(v, "clash") for v in values * 2], "value string, trade string"))
+    assert {"brandon", "svetlana", "priya"} <= set(lore.given) and not {"whitfield", "acme", "file", "roofing"} & set(lore.given)
+    assert lore.trades["rfg"] == lore.trades["roofing"] == "roofing" and lore.given["lana"] == "svetlana" and "lana" in lore.short
+    empty = learn(spark.createDataFrame([], "value string"))
+    assert "brandon" not in empty.given and empty.given["bob"] == "robert"
+
+
+def test_vocabulary_is_what_texts_write_in_lower_case(spark):
+    texts = spark.createDataFrame([("the archive of Whitfield sent mail to whitfield@inbox.test",)] * 5 + [(None,), ("",)], "text string")
+    words = P.vocabulary(spark.createDataFrame([("ledger",), (None,)], "term string"), texts)
+    assert {"ledger", "archive", "mail"} <= words and "whitfield" not in words
