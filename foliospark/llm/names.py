@@ -191,12 +191,12 @@ def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERROR
     # a number given keeps tasks as many as that, though each name grows to dozens of rows
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = names.filter(n >= 1).withColumn("row", F.struct(*names.columns)).repartition(tasks, "name", text)
-    key = lambda length, i, s: F.struct(F.col(block).alias("blk"), length.alias("len"), i.alias("i"), s.alias("s"))
+    key = lambda length, i, s: F.concat_ws("\x1f", F.col(block), length.cast("string"), i.cast("string"), s)
     fewer = F.array(F.col(text), *[F.concat(F.col(text).substr(1, i), F.col(text).substr(i + 2, pieces)) for i in range(pieces)])
     none = F.filter(fewer, lambda x: F.lit(False))
     forms = F.transform(F.when(n <= pieces, fewer).otherwise(none), lambda x: key(F.lit(-1), F.lit(-1), x))
-    own = F.array(*[key(n, F.lit(i), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1])) for i in range(pieces)])
-    index = base.select(F.col("row").alias("b"), F.explode(F.array_distinct(F.concat(forms, F.filter(own, lambda x: x["len"] >= pieces)))).alias("k"))
+    own = F.when(n >= pieces, F.array(*[key(n, F.lit(i), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1])) for i in range(pieces)])).otherwise(none)
+    index = base.select(F.col("row").alias("b"), F.explode(F.array_distinct(F.concat(forms, own))).alias("k"))
     shifts = [(d, i, s) for d in range(-most, most + 1) for i in range(pieces) for s in range(-most, most + 1)]
 
     def looked_up(d: int, i: int, shift: int, swapped: bool) -> Column:

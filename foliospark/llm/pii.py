@@ -115,18 +115,6 @@ DIGIT = re.compile(r"\d")
 NICK = re.compile(r"\s*[\"“”'‘’(][^\"“”'‘’()]{2,15}[\"“”'‘’)]\s*")
 
 
-class Folded(dict):
-    """Memo of `folded`; when full it starts afresh."""
-
-    def __missing__(self, w: str) -> str:
-        if len(self) > 200_000:
-            self.clear()
-        self[w] = f = folded(w)
-        return f
-
-
-FOLDED = Folded()
-fold = FOLDED.__getitem__
 def shortened(w: str) -> set[str]:
     return {w[:i] + w[i + 1 :] for i in range(len(w))}
 
@@ -159,21 +147,44 @@ class Mapped:
         return at if self.at is None else self.at[at]
 
 
-def normalised(text: str) -> Mapped:
+def normalised(text: str) -> tuple[Mapped, list[str]]:
+    """The text without disguises, and its words of three letters and more."""
     m = Mapped(text.translate(FLAT) if not text.isascii() and FLAT_HINT.search(text) else text)
     t = m.text
+    words = LETTERS.findall(t)
     if "@" in t or "at]" in t or "at)" in t or "AT]" in t or "AT)" in t or " dot " in t:
         m.rewrite(DOT, ".")
         m.rewrite(AT, "@")
         m.rewrite(AT_WORD, "@")
-    if SPELLED_HINT.search(t):
-        m.rewrite(SPELLED, lambda x: "".join(DIGIT_WORDS[w] for w in re.split(r"[\s-]+", x[0].replace("I", "ı").lower() if "IK" in x[0] or "AL" in x[0] else x[0].lower()) if w in DIGIT_WORDS))
+    if sum(map(SPELLS.__getitem__, words)) >= 3:
+        m.rewrite(SPELLED, lambda x: "".join(DIGIT_WORDS.get(w.lower()) or FOLDED_DIGITS[fold(w)] for w in re.split(r"[\s-]+", x[0])))
     if DIGIT.search(t):
         m.rewrite(LETTER_DIGIT, lambda x: "0" if x[0] in "Oo" else "1")
-    return m
+    return m, words
+
+
+FOLDED_DIGITS = {folded(w): d for w, d in DIGIT_WORDS.items()}
 
 
-SPELLED_HINT = re.compile(rf"\b{DIGIT_WORD}[\s-]+{DIGIT_WORD}[\s-]", re.IGNORECASE)
+class Memo(dict):
+    """Values by word; when full it starts afresh."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, w: str):
+        if len(self) > 200_000:
+            self.clear()
+        self[w] = v = self.make(w)
+        return v
+
+
+#: Words by their folded form.
+FOLDED = Memo(folded)
+fold = FOLDED.__getitem__
+#: 1 for words that spell a digit.
+SPELLS = Memo(lambda w: int(folded(w) in FOLDED_DIGITS))
 FLAT_HINT = re.compile("[" + re.escape("".join(map(chr, FLAT))) + "]")
 GROUPS = re.compile(r"\d+")
 
@@ -218,6 +229,8 @@ class Finder:
         self.short = lore.short
         self.given = frozenset(lore.given) - lore.short
         self.company = COMPANY | frozenset(lore.trades)
+        #: 1 for capitalised words that could be part of a name.
+        self.odd = Memo(lambda w: int(w[0].isupper() and w.lower() not in self.vocabulary and w.lower() not in self.company))
         #: A word is near a given name if both share a form with one letter left out.
         self.near = frozenset(x for n in self.given if len(n) >= 5 for x in shortened(n) | {n})
 
@@ -312,7 +325,7 @@ class Finder:
     def find(self, source: str, field: str | None = None) -> list[tuple[str, int, int]]:
         """(kind, start, end) in the source, by start. field: the key of a form field whose value the text is."""
         phone_field = field in ("phone", "fax")
-        m = normalised(source)
+        m, words = normalised(source)
         t = m.text
         out: list[tuple[str, int, int]] = []
         free = lambda a, b: all(b <= x or y <= a for _, x, y in out)
@@ -336,9 +349,9 @@ class Finder:
                 if free(*x.span()):
                     out.append(("address", *x.span()))
         whole = "\n" not in t.strip() and t.count(" ") < WHOLE_WORDS
-        if whole or not self.given.isdisjoint(map(fold, LETTERS.findall(t))) or (". " in t and INITIAL.search(t)):
+        if whole or not self.given.isdisjoint(map(fold, words)) or (". " in t and INITIAL.search(t)):
             out.extend(("name", a, b) for a, b in self.names(t, whole and (len(digits) < 5), field in ("to", "from")) if free(a, b))
-        if PAIR.search(t):
+        if sum(map(self.odd.__getitem__, words)) >= 2:
             out.extend(("name", a, b) for a, b in self.unlisted(t, [x[1:] for x in out], [x[1:] for x in out if x[0] == "address"]))
         out.sort(key=lambda x: x[1])
         for i, (k, a, b) in enumerate(out):
