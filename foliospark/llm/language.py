@@ -1,8 +1,10 @@
 """Problem 5: the language of pages and of segments in another language.
 
 Word scores of the six languages are learned from a bounded sample of labelled documents, whose labels are corrected by
-a few rounds of re-estimation. The scripts and letters of a word narrow its candidates; words not seen in training are
-scored by their letter trigrams. Viterbi with a switching penalty then labels the words of a whole content, and each
+a few rounds of re-estimation. The ranges of scripts and letters narrow a word's candidates: a word outside the Latin
+ranges has none and counts for nothing, one with letters that only some languages write is theirs. Words not seen in
+training are scored by their letter trigrams. A segment is prose by its sentence ends and by how like words its words are.
+Viterbi with a switching penalty then labels the words of a whole content, and each
 segment takes the language of most of its letters, with a confidence.
 
 Defined cases: null, empty and blank contents, contents without prose, and words of other scripts give no segment; a
@@ -42,9 +44,13 @@ TRAIN_DOCUMENTS = 3000
 ROUNDS = 3
 SWITCH = 9.0
 LEAST_LETTERS = 40
-#: Share of the words of a segment, names apart, that training has seen, at least, for it to be prose: with the end of a
-#: sentence at the end of a line, and without.
-LEAST_KNOWN, OPEN_KNOWN = 0.45, 0.75
+#: Share of the words of a segment, names apart, that look like words of a language, at least, for it to be prose: with the
+#: end of a sentence at the end of a line, and without. A word looks like one if training has seen it, or if its letter
+#: trigrams are as likely in some language as those of all but this part of the words of training, other words' trigrams
+#: being all that counts. Without the end of a sentence this share must have been seen.
+LEAST_WORDS, OPEN_WORDS, OPEN_SEEN, UNLIKELY = 0.45, 0.8, 0.5, 0.1
+#: What a language loses by a word with letters outside its ranges.
+OUTSIDE = 6.0
 WORD = re.compile(r"[^\W\d_]+")
 BLANK_LINE = re.compile(r"(?:\r\n|[\n\r  \x0b\x0c\x85])[^\S\n\r]*(?:(?:\r\n|[\n\r  \x0b\x0c\x85])[^\S\n\r]*)+")
 SENTENCE_END = re.compile(r"[.!?…][\"'»”’)\]]*[^\S\n\r]*(?:[\n\r]|$)")
@@ -66,7 +72,12 @@ class Scores:
 
     def __init__(self, words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
         self.words, self.grams = words, grams
+        self.uses = Counter(g for w in words for g in trigrams(w))
         self.id = uuid.uuid4().hex
+        self.rare = min((float(v.min()) for v in grams.values()), default=0.0)
+        self.least = -np.inf
+        if words:
+            self.least = float(np.quantile([self.likeness(w, True) for w in words if len(w) >= 3] or [0.0], UNLIKELY))
 
     @staticmethod
     def fit(rows: list[tuple[str, str]]) -> "Scores":
@@ -100,7 +111,20 @@ class Scores:
         grams = {g: np.log((v + 0.5) / (size + 0.5 * len(grams))).astype(np.float32) for g, v in grams.items()}
         return Scores(words, grams)
 
+    def likeness(self, word: str, alone: bool = False) -> float:
+        """Mean log probability of the word's trigrams in the language where it is highest; alone: without its own share."""
+        found = [self.grams.get(g) for g in trigrams(word)]
+        sums = np.mean([np.full(len(LANGS), self.rare, np.float32) if v is None else v for v in found], 0)
+        if alone:
+            sums = np.mean([self.rare if (n := self.uses.get(g, 0)) < 2 else (v + np.log1p(-1 / n)).max() for g, v in zip(trigrams(word), found)])
+        return float(np.max(sums))
+
+    def like_word(self, word: str) -> bool:
+        return word in self.words or len(word) >= 3 and self.likeness(word) >= self.least
+
     def of(self, word: str, name_like: bool = False) -> np.ndarray:
+        if foreign(word):
+            return np.zeros(len(LANGS), np.float32)
         got = self.words.get(word)
         if got is None and name_like:
             return np.zeros(len(LANGS), np.float32)
@@ -114,10 +138,15 @@ class Scores:
         if odd:
             fits = np.array([all(c in LETTERS[lang] for c in odd) for lang in LANGS])
             if fits.any():
-                got = got - 1.0 * ~fits
+                got = got - OUTSIDE * ~fits
         return got.astype(np.float32)
 
 
+def foreign(word: str) -> bool:
+    """Whether no letter of a word is in the Latin ranges."""
+    return min(word) > "\u024f"
+
+
 def trigrams(word: str) -> list[str]:
     w = f"^{word}$"
     return [w[i : i + 3] for i in range(len(w) - 2)]
@@ -161,6 +190,7 @@ class Labeller:
         self.index: dict[str, int] = {}
         self.table = np.zeros((4096, len(LANGS)), np.float32)
         self.known = np.zeros(4096, bool)
+        self.seen = np.zeros(4096, bool)
         self.name = np.zeros(4096, bool)
         self.letters = np.zeros(4096, np.int32)
 
@@ -170,6 +200,7 @@ class Labeller:
             if i >= len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
                 self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+                self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
                 self.name = np.concatenate([self.name, np.zeros_like(self.name)])
                 self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
             low = w.replace("İ", "i").lower()
@@ -177,9 +208,11 @@ class Labeller:
             if w.isupper() and "I" in w:  # a capital I may stand for a dotless one
                 v = np.maximum(v, self.model.of(low.replace("i", "ı")) - 0.5)
             self.table[i] = v - v.max()
-            self.known[i] = low in self.model.words
-            self.name[i] = not self.known[i] and w[0].isupper() and not w.isupper()
-            self.letters[i] = len(w)
+            outside = foreign(low)
+            self.known[i] = not outside and self.model.like_word(low)
+            self.seen[i] = low in self.model.words
+            self.name[i] = outside or low not in self.model.words and w[0].isupper() and not w.isupper()
+            self.letters[i] = 0 if outside else len(w)
             self.index[w] = i
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
@@ -211,10 +244,12 @@ class Labeller:
         n = np.array(counts)
         seg = np.repeat(np.arange(len(n)), n)
         letters = np.bincount(seg, self.letters[ids], len(n)).astype(np.int64)
-        known = np.bincount(seg, self.known[ids], len(n))
+        known = np.bincount(seg, self.known[ids] & ~self.name[ids], len(n))
         plain = n - np.bincount(seg, self.name[ids], len(n))
-        share = np.where(np.array(ended), LEAST_KNOWN, OPEN_KNOWN)
-        prose = (letters >= LEAST_LETTERS) & (plain >= 5) & (known >= share * plain)
+        seen = np.bincount(seg, self.seen[ids], len(n))
+        ends = np.array(ended)
+        worded = np.where(ends, known >= LEAST_WORDS * plain, (known >= OPEN_WORDS * plain) & (seen >= OPEN_SEEN * plain))
+        prose = (letters >= LEAST_LETTERS) & (plain >= 5) & worded
         content = np.array(at)
         lang = np.zeros(len(ids), np.int64)
         # Viterbi runs over the prose of a whole content, so that its segments share a state

@@ -53,3 +53,40 @@ def test_pages(spark, model):
     assert rows[1, -1, -1] == ("en", "en", "fr") and rows[1, 1, 1][:2] == ("de", "en") and rows[2, -1, -1] == ("de", "de", "de") and rows[5, -1, -1] == ("en", "en", None)
     assert not any(k[0] in (3, 4) for k in rows)
     assert L.languages(e.limit(0), p, model).count() == 0
+
+
+TECHNICAL = [
+    ("de", "Die Wellenlänge des Lichts bestimmt die Energie der Elektronen, die aus der Metalloberfläche austreten."), ("en", "Plants absorb sunlight through chlorophyll molecules and convert carbon dioxide into sugars and oxygen."),
+    ("en", "Enzymes accelerate biochemical reactions inside living cells by lowering activation energy barriers."), ("tr", "Bitkiler gün ışığını kullanarak şeker ve oksijen üretir, bunun için yaprakların yeşil rengi gerekir."),
+]
+
+
+def learned():
+    """Scores from sentences on other things, built of a few hundred words."""
+    en = "the supplier sent packing list at regional centre and clerk has checked it again today because our office will move under the old storage building before winter while some workers count every broken container through long evening shifts without heating or light".split()
+    de = "der lieferant hat die packliste im zentrum abgegeben und der empfang prüft sie heute noch einmal weil unser lager bald umzieht wobei einige arbeiter alle zerbrochenen behälter während langer abendschichten ohne heizung und licht unter der treppe zählen".split()
+    tr = "tedarikçi paket listesini bölge merkezinde teslim etti ve muhasebe bunu bugün yeniden kontrol etti çünkü ofisimiz yakında taşınacak bazı işçiler kırık kapları uzun akşam vardiyalarında ısıtma ve ışık olmadan sayıyor gerekir için yeşil".split()
+    rng = np.random.default_rng(2)
+    return L.Scores.fit([(lang, " ".join(rng.permutation(words))) for lang, words in (("en", en), ("de", de), ("tr", tr)) for _ in range(12)])
+
+
+def test_prose_on_unseen_subjects_is_labelled():
+    at, _, lang, _, _ = L.Labeller(learned()).segments([t for _, t in TECHNICAL] + ["xq zzkv wrtq pblf qqjx kkwz vvxq zrtp kjhq wxcv.", "Lot 12345 Box 4 Ref 99 Lot 12345 Box 4 Ref 99 Lot 1 Box 44444 Ref 777777 No 88888888"])
+    assert [(i, L.LANGS[k]) for i, k in zip(at, lang)] == [(i, want) for i, (want, _) in enumerate(TECHNICAL)]
+
+
+def test_ranges_narrow_candidates(monkeypatch):
+    """Words that training has not seen are told by letters that one language alone writes."""
+    model = L.Scores.fit([("en", EN), ("de", DE), ("tr", TR)] * 6)
+    text = f"{EN}\n\nŞoför kağıdı aşağı taşıdı, çırağı ağır yığını sığdırdı."
+    got = lambda: [L.LANGS[k] for k in L.Labeller(model).segments([text])[2]]
+    monkeypatch.setattr(L, "LEAST_WORDS", 0.0)
+    assert got() == ["en", "tr"]
+    monkeypatch.setattr(L, "LETTERS", dict.fromkeys(L.LANGS, "".join(L.LETTERS.values())))
+    assert got() != ["en", "tr"]
+
+
+def test_other_scripts_count_for_nothing(model):
+    mixed = f"{EN} Привет мир مرحبا بالعالم"
+    at, _, lang, letters, _ = L.Labeller(model).segments([mixed, "Поставщик отправил упаковочный лист в региональный центр сегодня."])
+    assert at.tolist() == [0] and L.LANGS[lang[0]] == "en" and letters[0] == sum(c.isalpha() for c in EN)
