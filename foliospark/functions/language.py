@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import lower
@@ -69,5 +69,5 @@ def decision(text: Column, detected: Column, confidence: Column, available: tupl
 
 def carried(pages: DataFrame) -> DataFrame:
     """Every page of a file with the language of its first page; without one, English and Turkish."""
-    first = F.first("lang_tess").over(Window.partitionBy("file").orderBy("page"))
-    return pages.select("file", "page", F.coalesce(first, F.lit("eng+tur")).alias("lang_tess"))
+    first = pages.groupBy("file").agg(F.min_by(F.struct("lang_tess"), "page").alias("first"))
+    return pages.select("file", "page").join(first, "file", "left").select("file", "page", F.coalesce("first.lang_tess", F.lit("eng+tur")).alias("lang_tess"))

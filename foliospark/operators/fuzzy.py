@@ -73,11 +73,28 @@ def similarity(distance: Column, a: Column, b: Column) -> Column:
     return 1 - distance / F.greatest(F.length(a), F.length(b))
 
 
+def swaps(w: Column) -> Column:
+    """The forms of a word with two neighbours swapped."""
+    at = F.filter(F.sequence(F.lit(0), F.length(w)), lambda i: (i >= 1) & (i < F.length(w)))
+    return F.transform(at, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.lit(1)), F.substring(w, i, F.lit(1)), F.substring(w, i + 2, F.length(w))))
+
+
+def edits(a: Column, b: Column) -> Column:
+    """Edit distance up to two in which a swap of neighbours is one edit, null beyond. Swaps are tried only where the plain
+    distance leaves room for them: from two letters (one swap) to four (two swaps)."""
+    plain = F.levenshtein(a, b, 2 * MOST_EDITS)
+    once = F.array_min(F.transform(swaps(a), lambda s: F.levenshtein(s, b))) + 1
+    twice = F.exists(swaps(a), lambda s: F.exists(swaps(s), lambda t: t == b))
+    swapped = F.when(plain.isin(2, 3), F.least(plain, once)).when((plain == 4) & twice, 2)
+    return F.when(plain.isin(0, 1), plain).when(swapped <= MOST_EDITS, swapped)
+
+
 def near_terms(words: DataFrame, terms: DataFrame) -> DataFrame:
-    """word, term, distance, similarity of each word (lower case) and term within two edits and alike by .8 or more."""
+    """word, term, distance, similarity of each word (lower case) and term within two edits (a swap of neighbours is one)
+    and alike by .8 or more."""
     probe = words.select("word", F.explode(deletes(F.col("word"))).alias("d"))
     index = terms.select("term", F.explode(deletes(F.col("term"))).alias("d"))
-    found = probe.join(index, "d").select("word", "term").distinct().withColumn("distance", F.levenshtein("word", "term", MOST_EDITS)).filter("distance >= 0")
+    found = probe.join(index, "d").select("word", "term").distinct().withColumn("distance", edits(F.col("word"), F.col("term"))).filter("distance is not null")
     return found.withColumn("similarity", similarity(F.col("distance"), F.col("word"), F.col("term"))).filter(F.col("similarity") >= LEAST_SIMILARITY)
 
 
@@ -96,7 +113,8 @@ def suggestions(words: DataFrame, terms: DataFrame, most: int = 5) -> DataFrame:
 
 def ratio_matches(words: DataFrame, terms: DataFrame, least: float = 0.8) -> DataFrame:
     """word, term, ratio by the share of matching letters (2 x common subsequence over both lengths), of terms up to two
-    letters longer or shorter, joined by length; for words without a match by edits."""
+    letters longer or shorter; for words of four letters and more without a match by edits. They are joined by length and a
+    pair of neighbouring letters: at .8 or more so few letters are left over that one pair at least stands in both."""
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         def one(x: str, y: str) -> float:
@@ -111,8 +129,10 @@ def ratio_matches(words: DataFrame, terms: DataFrame, least: float = 0.8) -> Dat
 
         return pd.Series([one(x, y) for x, y in zip(a, b)])
 
-    probe = words.select("word", F.explode(F.sequence(F.length("word") - 2, F.length("word") + 2)).alias("n"))
-    pairs = probe.join(terms.select("term", F.length("term").alias("n")), "n").withColumn("ratio", ratio("word", "term")).filter(F.col("ratio") >= least)
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))
+    probe = words.filter(F.length("word") >= LEAST_LENGTH).select("word", F.explode(grams(F.col("word"))).alias("g"), F.sequence(F.length("word") - 2, F.length("word") + 2).alias("ns")).select("word", "g", F.explode("ns").alias("n"))
+    index = terms.filter(F.length("term") >= 2).select("term", F.length("term").alias("n"), F.explode(grams(F.col("term"))).alias("g"))
+    pairs = probe.join(index, ["g", "n"]).select("word", "term").distinct().withColumn("ratio", ratio("word", "term")).filter(F.col("ratio") >= least)
     return pairs.withColumn("rn", F.row_number().over(Window.partitionBy("word").orderBy(F.col("ratio").desc(), "term"))).filter("rn = 1").select("word", "term", "ratio")
 
 

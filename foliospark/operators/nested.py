@@ -11,9 +11,11 @@
 Key names that differ only in spelling are one type (`aliases`); an object whose keys are all numbers is a repeated
 child by those keys; a container given as a JSON string is read as what it holds.
 
+4. `typed` makes of one table node a flat table with its keys and a typed column for each value.
+
 Defined cases: a null payload, one that is not valid JSON, and one whose top is no object give no rows; a scalar or null
-in a place of objects keeps its position and gives no row; a record delivered again gives equal rows, which
-`distinct` in the queries removes.
+in a place of objects keeps its position and gives no row, scalars beside objects stand as JSON in `<key>_values`; of a
+record delivered again the latest readable delivery stands (`latest`).
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 ROOT = "record"
 ROWS = "tbl string, {id} bigint, node_id int, parent_tbl string, parent_id int, pos int, map_key string, carried map<string,string>, vals map<string,string>"
 
@@ -153,9 +157,8 @@ def schema_graph(records: DataFrame, payload: str, shape: Shape) -> DataFrame:
 
 
 def inline(graph: list[tuple[str, str, bool]]) -> set[str]:
-    """The node types that become tables: the root, and each repeated, shared or recursive type. Types that stand
-    below a shared wrapper count the wrapper once: a singleton type that only wraps others is inlined even where shared
-    by a root and its child, as it has no identity of its own."""
+    """The node types that become tables: the root, and each type that repeats, that several parents share or that contains
+    itself, directly or below."""
     parents: dict[str, set[str]] = {}
     below: dict[str, set[str]] = {}
     repeated = {c for _, c, many in graph if many}
@@ -192,6 +195,8 @@ def nodes(record: dict, shape: Shape, tables: set[str]) -> list[tuple]:
                     vals.update(zip((f"{prefix}{k}_{s}" for s in ("left", "top", "right", "bottom")), map(repr, b)))
                 continue
             got = children(k, v, shape)
+            if isinstance(v, list) and got is not None and (loose := [x for x in v if x is not None and not isinstance(opened(x), dict)]):
+                vals[f"{prefix}{k}_values"] = text_of(loose)
             if got is None:
                 vals[prefix + k] = text_of(v)
             elif k in tables:
@@ -232,3 +237,31 @@ def shred(records: DataFrame, rec_id: str, payload: str, shape: Shape, tables: s
                     rows = []
 
     return records.select(rec_id, payload).mapInArrow(run, ROWS.format(id=rec_id))
+
+
+def latest(records: DataFrame, rec_id: str, payload: str, delivered: str) -> DataFrame:
+    """Of each record its latest delivery that can be read, else its latest one that is not null."""
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = Window.partitionBy(rec_id).orderBy(F.get_json_object(payload, "$").isNull(), F.col(delivered).desc_nulls_last(), F.col(payload))
+    rows = records.filter(F.col(payload).isNotNull()).repartition(tasks, rec_id)
+    return rows.withColumn("_d", F.row_number().over(order)).filter("_d = 1").drop("_d")
+
+
+def typed(rows: DataFrame, rec_id: str, tbl: str) -> DataFrame:
+    """One table of `shred` as a flat table: record, node_id, parent_tbl and parent_id (the foreign key to the table above),
+    pos, map_key, and a column for each value: double where all its values are numbers, boolean where all are, else
+    string. What comes to the driver has a row per column."""
+    own = written(rows.filter(F.col("tbl") == tbl), "nested-table")
+    told = own.select(F.explode("vals").alias("key", "value")).filter("value is not null").groupBy("key")
+    kinds = told.agg(F.count("*").alias("n"), F.count(F.expr("try_cast(value as double)")).alias("numbers"), F.count(F.when(F.col("value").isin("true", "false"), 1)).alias("flags")).orderBy("key").collect()
+    taken = {rec_id.lower(), "node_id", "parent_tbl", "parent_id", "pos", "map_key"}
+    columns = []
+    for r in kinds:
+        name = r.key
+        while name.lower() in taken:
+            name += "_value"
+        taken.add(name.lower())
+        value = F.col("vals")[r.key]
+        kind = "double" if r.numbers == r.n else "boolean" if r.flags == r.n else "string"
+        columns.append((value.try_cast(kind) if kind != "string" else value).alias(name))
+    return own.select(rec_id, "node_id", "parent_tbl", "parent_id", "pos", "map_key", *columns)

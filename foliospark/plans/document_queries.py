@@ -17,9 +17,10 @@ from .layout_queries import quality_flags
 KEYS = ["file", "page"]
 
 
-def page_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested documents (sources.files.DOCUMENT): elements in order with boxes on the original page, fields, flags; failed
-    pages keep their error. Every part is aggregated by page before it is joined."""
+def document_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """file, document_type, total_pages and `pages`, a page of a nested document (sources.files.DOCUMENT, a row a page):
+    elements in order with boxes on the original page, fields, flags; failed pages keep their error. Every part is
+    aggregated by page before it is joined, and no file is gathered in one row."""
     p = pages(spark, folder)
     o = unscale(Box.of(), F.col("sr_scale_factor"))
     box = F.when(F.col("x1").isNotNull(), F.struct(o.x1.alias("x1"), o.y1.alias("y1"), o.x2.alias("x2"), o.y2.alias("y2")))
@@ -30,19 +31,20 @@ def page_documents(spark: SparkSession, folder: str) -> DataFrame:
     q = quality_flags(spark, folder).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("type", "severity", "message", F.col("ratio").alias("affected_ratio")))).alias("quality_flags"))
     whole = p.join(e, KEYS, "left").join(f, KEYS, "left").join(q, KEYS, "left")
     page = F.struct("page", "page_width", "page_height", "error", F.coalesce("elements", F.array().cast(e.schema["elements"].dataType)).alias("elements"), "fields", "quality_flags")
-    return whole.groupBy("file").agg(F.max("document_type").alias("document_type"), F.count("*").cast("int").alias("total_pages"), F.array_sort(F.collect_list(page), lambda a, b: a["page"] - b["page"]).alias("pages"))
+    files = p.groupBy("file").agg(F.max("document_type").alias("document_type"), F.count("*").cast("int").alias("total_pages"))
+    return whole.select("file", F.array(page).alias("pages")).join(files, "file").select("file", "document_type", "total_pages", "pages")
 
 
 def page_document(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of the parts of each nested document."""
-    size = lambda f: F.aggregate(F.transform("pages", f), F.lit(0), lambda a, x: a + x)
-    d = page_documents(spark, folder)
-    return d.select("file", "document_type", "total_pages", size(lambda p: F.size(p["elements"])).alias("n_elements"), size(lambda p: F.when(p["fields"].isNull(), 0).otherwise(F.size(p["fields"]))).alias("n_fields"), size(lambda p: p["error"].isNotNull().cast("int")).alias("n_failed"))
+    of = F.col("pages")[0]
+    counts = F.sum(F.size(of["elements"])), F.sum(F.when(of["fields"].isNull(), 0).otherwise(F.size(of["fields"]))), F.sum(of["error"].isNotNull().cast("int"))
+    return document_pages(spark, folder).groupBy("file", "document_type", "total_pages").agg(*(c.cast("int").alias(n) for c, n in zip(counts, ("n_elements", "n_fields", "n_failed"))))
 
 
 def document_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document as one JSON text."""
-    return page_documents(spark, folder).select("file", F.to_json(F.struct("file", "document_type", "total_pages", "pages")).alias("json"))
+    """Every page of a document as one JSON text with its document's head."""
+    return document_pages(spark, folder).select("file", F.col("pages")[0]["page"].alias("page"), F.to_json(F.struct("file", "document_type", "total_pages", "pages")).alias("json"))
 
 
 def vector_images(spark: SparkSession, folder: str) -> DataFrame:

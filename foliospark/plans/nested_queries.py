@@ -17,11 +17,11 @@ PAGE_RECORD = nested.Shape(
 
 
 def page_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """All flat tables of page_records (see operators.nested). The graph that comes to the driver has one row per
-    distinct edge of the schema."""
-    records = table(spark, folder, "page_records", "rec_id", "payload")
+    """All flat tables of page_records (see operators.nested). Every payload is read twice: for the graph, of which one row
+    per distinct edge of the schema comes to the driver, and for the rows, of the latest deliveries."""
+    records = table(spark, folder, "page_records", "rec_id", "payload", "received_at")
     graph = [tuple(r) for r in nested.schema_graph(records, "payload", PAGE_RECORD).collect()]
-    return nested.shred(records, "rec_id", "payload", PAGE_RECORD, nested.inline(graph))
+    return nested.shred(nested.latest(records, "rec_id", "payload", "received_at"), "rec_id", "payload", PAGE_RECORD, nested.inline(graph))
 
 
 def p2_schema(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,33 +44,34 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     by row and column where all cells of the table tell theirs as they stand, else as they stand."""
     rows = page_tables(spark, folder).filter(F.col("tbl").isin("elements", "cells"))
     side = lambda s: F.expr(f"try_cast(vals['bounding_box_{s}'] as double)")
-    own = lambda c: F.when(F.col("tbl") == "elements", F.col("pos").cast("string")).otherwise(F.col("carried")[c])
+    is_element = F.col("tbl") == "elements"
     number = F.coalesce(F.expr("try_cast(carried['pages.page'] as int)"), F.expr("try_cast(carried['pages.key'] as int)"), F.expr("try_cast(carried['pages.pos'] as int)") + 1)
+    row_pos = F.expr("try_cast(carried['rows.pos'] as int)")
+    place = F.struct(F.coalesce(F.expr("try_cast(vals['row'] as int)"), row_pos, F.lit(0)).alias("r"), F.coalesce(F.expr("try_cast(vals['col'] as int)"), F.lit(0)).alias("c"), F.coalesce(row_pos, F.lit(0)).alias("row_pos"), "pos", F.col("ok"))
     flat = rows.select(
-        "rec_id",
-        "tbl",
-        number.alias("page"),
-        own("elements.pos").cast("int").alias("elem_pos"),
-        F.coalesce(F.expr("try_cast(vals['row'] as int)"), F.expr("try_cast(carried['rows.pos'] as int)"), F.lit(0)).alias("r"),
-        F.coalesce(F.expr("try_cast(vals['col'] as int)"), F.lit(0)).alias("c"),
-        F.expr("try_cast(carried['rows.pos'] as int)").alias("row_pos"),
-        "pos",
-        (side("right") > side("left")).alias("wide"),
-        (side("bottom") > side("top")).alias("high"),
-    ).distinct()
-    elements = flat.filter("tbl = 'elements'").withColumn("cell_pos", F.lit(-1))
-    tables = flat.filter("tbl = 'cells'").groupBy("rec_id", "page", "elem_pos").agg(F.array_sort(F.collect_list(F.struct(*place_fields(), F.coalesce(F.col("wide") & F.col("high"), F.lit(False)).alias("ok")))).alias("cells"))
-    cells = tables.select("rec_id", "page", "elem_pos", F.posexplode("cells").alias("cell_pos", "cell")).filter("cell.ok")
-    return (
-        elements.filter("wide and high").select("rec_id", "page", "elem_pos", "cell_pos")
-        .unionByName(cells.select("rec_id", "page", "elem_pos", "cell_pos"))
-        .distinct()
-    )
-
-
-def place_fields() -> list:
-    return [F.col("r"), F.col("c"), F.coalesce("row_pos", F.lit(0)).alias("row_pos"), F.col("pos")]
-
-
-QUERIES = {"p2_found": p2_found, "p2_schema": p2_schema, "p2_tables": p2_tables}
+        "rec_id", "tbl", number.alias("page"), F.when(is_element, F.col("pos")).otherwise(F.expr("try_cast(carried['elements.pos'] as int)")).alias("elem_pos"), "vals", "carried", "pos",
+        F.coalesce((side("right") > side("left")) & (side("bottom") > side("top")), F.lit(False)).alias("ok"),
+    )
+    # one group holds the cells of one table
+    by_element = flat.groupBy("rec_id", "page", "elem_pos").agg(F.max(F.when(is_element, F.col("ok"))).alias("own"), F.array_sort(F.collect_list(F.when(~is_element, place))).alias("cells"))
+    cells = F.transform("cells", lambda x, i: F.when(x["ok"], i))
+    return by_element.select("rec_id", "page", "elem_pos", F.explode(F.array_compact(F.concat(F.array(F.when(F.col("own"), -1)), cells))).alias("cell_pos"))
+
+
+def p2_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages of the records as a flat table, linked to what is above them."""
+    return nested.typed(page_tables(spark, folder), "rec_id", "pages")
+
+
+def p2_elements(spark: SparkSession, folder: str) -> DataFrame:
+    """The elements as a flat table, linked to their pages."""
+    return nested.typed(page_tables(spark, folder), "rec_id", "elements")
+
+
+def p2_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The table cells as a flat table, linked to their elements or rows."""
+    return nested.typed(page_tables(spark, folder), "rec_id", "cells")
+
+
+QUERIES = {"p2_found": p2_found, "p2_schema": p2_schema, "p2_tables": p2_tables, "p2_pages": p2_pages, "p2_elements": p2_elements, "p2_cells": p2_cells}
 SQL: dict[str, str] = {}

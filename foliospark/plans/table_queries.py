@@ -98,10 +98,13 @@ def index_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def grid_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    """Boxes as a grid of texts, its first five columns beside each other."""
+    """Boxes as a grid of texts: for each row the texts of all its columns, '' where there is none, up to the last that the
+    row fills."""
     rows = T.indexed(boxes(spark, folder), KEYS, 60.0).withColumn("text", F.concat("class", F.col("box_idx").cast("string")))
     g = T.grid_text(rows, KEYS, "box_idx")
-    return g.groupBy(*KEYS, "row").pivot("col", list(range(5))).agg(F.first("text")).select(*KEYS, "row", *[F.coalesce(F.col(str(c)), F.lit("")).alias(f"c{c}") for c in range(5)])
+    cells = g.groupBy(*KEYS, "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m"), F.max("col").alias("last"))
+    texts = F.transform(F.sequence(F.lit(0), F.col("last")), lambda c: F.coalesce(F.element_at("m", c.cast("int")), F.lit("")))
+    return cells.select(*KEYS, "row", (F.col("last") + 1).cast("int").alias("n_cols"), F.array_join(texts, " | ").alias("texts"))
 
 
 def table_validate(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,7 +230,9 @@ SQL = {
     "ruled_tables": f"""SELECT file, page, n_h::bigint AS n_h, n_v::bigint AS n_v, n_cells, n_rows, n_cols FROM (SELECT file, page, sum(CASE WHEN axis = 'h' THEN 1 ELSE 0 END) AS n_h, sum(CASE WHEN axis = 'v' THEN 1 ELSE 0 END) AS n_v FROM {MERGED} m GROUP BY ALL) r
       JOIN (SELECT file, page, count(*) AS n_cells, count(DISTINCT row) AS n_rows, count(DISTINCT col) AS n_cols FROM {CELLS} c GROUP BY ALL) c USING (file, page) WHERE n_h >= 2 AND n_v >= 2 AND n_cells >= 4 AND n_rows >= 2 AND n_cols >= 2""",
     "index_cells": f"SELECT file, page, box_idx, row, col FROM {INDEXED} i",
-    "grid_pivot": f"SELECT file, page, row, " + ", ".join(f"coalesce(max(t) FILTER (col = {c}), '') AS c{c}" for c in range(5)) + f" FROM (SELECT file, page, row, col, string_agg(class || box_idx, ' | ' ORDER BY box_idx) AS t FROM {INDEXED} i GROUP BY ALL) g GROUP BY file, page, row",
+    "grid_pivot": f"""WITH g AS (SELECT file, page, row, col, string_agg(class || box_idx, ' | ' ORDER BY box_idx) AS t FROM {INDEXED} i GROUP BY ALL), l AS (SELECT file, page, row, max(col) AS last FROM g GROUP BY ALL),
+      c AS (SELECT file, page, row, last, unnest(range(0, last + 1)) AS col FROM l)
+      SELECT file, page, row, (last + 1)::int AS n_cols, string_agg(coalesce(t, ''), ' | ' ORDER BY col) AS texts FROM c LEFT JOIN g USING (file, page, row, col) GROUP BY file, page, row, last""",
     "table_validate": f"""WITH c AS (SELECT *, row * 100 + col AS cell_idx FROM {CELLS} z), t AS (SELECT file, page, box_idx, x1 / 4 + 100 AS x1, y1 + 100 AS y1, x1 / 4 + 150 AS x2, y1 + 130 AS y2 FROM {BOXES} b),
       f AS (SELECT file, page, count(DISTINCT cell_idx) AS n FROM (SELECT t.file, t.page, t.box_idx, min(cell_idx) AS cell_idx FROM t JOIN c ON t.file = c.file AND t.page = c.page AND greatest(0, least(t.x2, c.x2) - greatest(t.x1, c.x1)) * greatest(0, least(t.y2, c.y2) - greatest(t.y1, c.y1)) / 1500.0e0 > 0.8 GROUP BY ALL) q GROUP BY ALL),
       k AS (SELECT file, page, 1 + coalesce(sum(CASE WHEN v - l > 30 THEN 1 ELSE 0 END), 0) AS n_cols FROM (SELECT *, lag(v) OVER (PARTITION BY file, page ORDER BY v) AS l FROM (SELECT DISTINCT file, page, (x1 + x2) / 2 AS v FROM c) d) e GROUP BY ALL),

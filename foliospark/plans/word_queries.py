@@ -95,7 +95,7 @@ LT = "lower(translate(t, 'İ', 'i'))"
 #: Letters beyond ASCII as single ASCII signs, for an edit distance that counts bytes.
 ONE = lambda c: f"translate({c}, 'àâçéèêëîïôùûüäößáíñóúğışìòæœÿãõ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ01234')"
 WORDS = f"(SELECT DISTINCT {LT} AS word FROM (SELECT token AS t FROM {TOKENS} k) z WHERE NOT {SKIP} AND {LT} NOT IN (SELECT term FROM {TERMS} d))"
-LEV = f"levenshtein({ONE('word')}, {ONE('term')})"
+LEV = f"damerau_levenshtein({ONE('word')}, {ONE('term')})"
 NEAR = f"(SELECT word, term, {LEV} AS distance, 1 - {LEV} / greatest(length(word), length(term)) AS sim FROM {WORDS} w JOIN {TERMS} d ON abs(length(word) - length(term)) <= 2 AND {LEV} <= 2 WHERE 1 - {LEV} / greatest(length(word), length(term)) >= 0.8)"
 BEST = f"(SELECT word, term, distance FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, term) AS rn FROM {NEAR} n) z WHERE rn = 1)"
 CASED = lambda t, w: f"CASE WHEN upper({t}) = {t} AND lower({t}) <> {t} THEN upper({w}) WHEN regexp_matches({t}[1:1], '\\p{{Lu}}') AND lower({t}[2:]) = {t}[2:] THEN upper({w}[1:1]) || lower({w}[2:]) ELSE lower({w}) END"

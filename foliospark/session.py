@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,24 +47,42 @@ def importable(query):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir. Only where that is unset (tests, local mode) a
-    temporary folder is set."""
+    """The folder all executors share, from spark.checkpoint.dir. Only in local mode, where there is one machine, a
+    temporary folder is set where that is unset; elsewhere it must be set."""
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="foliospark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+#: Tables written by this driver that have not been removed.
+WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: lineage ends at files that outlive any
-    executor, and the plan above it is made from known sizes."""
+    executor, and the plan above it is made from known sizes. `forget` removes the tables when results are read."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession) -> int:
+    """Removes the tables that `written` made; call it when the results that are made from them have been read."""
+    n = 0
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def hash_sample(df: DataFrame, key: str, rows: int, condition: str = "true", total: int | None = None) -> DataFrame:
     """At most so many rows of df that meet the condition, chosen by a hash of the key. The share that goes into the last
     choice is set from the number of all rows (total, where it is known), so that tasks send the driver no more in all than

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """One JSON document a line; empty parts are left out."""
+    """One JSON text a line: a whole document, or a page with its document's head; empty parts are left out."""
     documents.write.mode("overwrite").json(path)
 
 

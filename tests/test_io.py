@@ -8,7 +8,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import functions as F
 
-from foliospark.plans.document_queries import page_documents
+from foliospark.plans.document_queries import document_pages
 from foliospark.slots import SCHEMAS, Registry
 from foliospark.sources import files, sinks
 from foliospark.streaming import inputs
@@ -34,10 +34,10 @@ def test_inputs(spark, tmp_path):
 
 
 def test_documents_round_trip(spark, data, tmp_path):
-    docs = page_documents(spark, data).limit(5).cache()
+    docs = document_pages(spark, data).limit(5).cache()
     sinks.write_documents(docs, str(tmp_path / "docs"))
     back = files.documents(spark, str(tmp_path / "docs"))
-    size = lambda df: sorted((r.file, r.total_pages, sum(len(p.elements or []) for p in r.pages)) for r in df.collect())
+    size = lambda df: sorted((r.file, r.pages[0].page, r.total_pages, sum(len(p.elements or []) for p in r.pages)) for r in df.collect())
     assert size(back) == size(docs)
     assert sinks.corpus_json(docs).first().json.startswith('{"documents":[{"file":')
 

@@ -242,3 +242,51 @@ def test_nested_edges(spark):
     got = N.shred(df, "rec_id", "payload", PAGE_RECORD, N.inline(graph)).filter("tbl = 'elements'").select("rec_id", "pos", F.col("vals")["bounding_box_right"].alias("right")).distinct().collect()
     assert [tuple(r) for r in got] == [(6, 2, "1.0")]
     assert N.shred(df.limit(0), "rec_id", "payload", PAGE_RECORD, {"record"}).count() == 0
+
+
+def test_nested_latest_and_typed(spark):
+    page = lambda n, t: json.dumps({"pages": [{"page": n, "note": t, "elements": [{"type": "Table", "ok": True, "bbox": [0, 0, 2, 1], "node_id": "7", "cells": [{"row": 0, "text": "a", "bbox": [0, 0, 1, 1]}]}, 5]}]})
+    rows = [(1, page(1, "old"), 1), (1, page(2, "new"), 5), (1, page(2, "new")[:-4], 9), (1, None, 12), (2, None, 1), (3, "{", 1), (4, page(3, "4"), None)]
+    df = spark.createDataFrame(rows, "rec_id bigint, payload string, received_at int").withColumn("tbl", F.lit("clash"))
+    kept = N.latest(df, "rec_id", "payload", "received_at")
+    assert sorted((r.rec_id, (r.payload or "")[:12]) for r in kept.collect()) == [(1, '{"pages": [{'), (3, "{"), (4, '{"pages": [{')]
+    shredded = N.shred(kept, "rec_id", "payload", PAGE_RECORD, N.inline([tuple(r) for r in N.schema_graph(df, "payload", PAGE_RECORD).collect()]))
+    pages, elements, cells = (N.typed(shredded, "rec_id", t) for t in ("pages", "elements", "cells"))
+    assert sorted((r.rec_id, r.page, r.note, r.elements_values) for r in pages.collect()) == [(1, 2.0, "new", "[5]"), (4, 3.0, "4", "[5]")]
+    assert dict(elements.dtypes)["ok"] == "boolean" and dict(elements.dtypes)["bounding_box_right"] == "double" and "node_id_value" in elements.columns
+    up = elements.alias("e").join(pages.alias("p"), (F.col("e.rec_id") == F.col("p.rec_id")) & (F.col("e.parent_id") == F.col("p.node_id")))
+    down = cells.alias("c").join(elements.alias("e"), (F.col("c.rec_id") == F.col("e.rec_id")) & (F.col("c.parent_id") == F.col("e.node_id")))
+    assert up.count() == 2 and down.count() == 2
+    assert N.typed(shredded.limit(0), "rec_id", "pages").count() == 0
+
+
+def test_swaps_are_one_edit(spark):
+    words = ["recieve", "certificaet", "cretificaet", "departmnet", "signature", "letter", "lettre", "certificates", "xxxxxxxx"]
+    terms = ["receive", "certificate", "department", "signature", "letter"]
+    got = {(r.word, r.term): r.distance for r in Z.near_terms(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(t,) for t in terms], "term string")).collect()}
+    assert got == {("recieve", "receive"): 1, ("certificaet", "certificate"): 1, ("cretificaet", "certificate"): 2, ("departmnet", "department"): 1, ("signature", "signature"): 0, ("letter", "letter"): 0, ("lettre", "letter"): 1, ("certificates", "certificate"): 1}
+
+
+def test_ratio_matches_against_all_pairs(spark):
+    rng = random.Random(3)
+    terms = {"".join(rng.choice("abcde") for _ in range(rng.randint(4, 11))) for _ in range(60)}
+    words = {"".join(c for c in t if rng.random() > 0.12) + rng.choice(["", "x"]) for t in terms}
+    words = {w for w in words if len(w) >= 4}
+
+    def ratio(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            left = 0
+            for j, d in enumerate(y, 1):
+                up = row[j]
+                row[j] = left + 1 if c == d else max(up, row[j - 1])
+                left = up
+        return 2 * row[-1] / (len(x) + len(y))
+
+    want = {}
+    for w in words:
+        best = max(((ratio(w, t), t) for t in terms if abs(len(w) - len(t)) <= 2), key=lambda x: (x[0], [-ord(c) for c in x[1]]), default=(0, ""))
+        if best[0] >= 0.8:
+            want[w] = round(best[0], 9)
+    got = {r.word: round(r.ratio, 9) for r in Z.ratio_matches(spark.createDataFrame([(w,) for w in words], "word string"), spark.createDataFrame([(t,) for t in terms], "term string")).collect()}
+    assert got == want and len(got) > 20
