@@ -273,3 +273,36 @@ def image_metrics(image: Column) -> Column:
 
 def image_handwriting(image: Column) -> Column:
     return over_images(handwriting_features, FEATURES)(image)
+
+
+def flatness(img: np.ndarray) -> dict[str, float]:
+    """Mean and spread of the grey values: an empty part of a page is light and even."""
+    g = gray(img)
+    return {"mean": float(g.mean()), "std": float(g.std())}
+
+
+def image_flatness(image: Column) -> Column:
+    return over_images(flatness, "mean double, std double")(image)
+
+
+def cropped(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, w, h and the fields of each of a page's `boxes` (block_idx, type, confidence, sides) with `image`, the part of
+    the page's image that the box holds."""
+    kinds = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{kinds}, w double, h double, block_idx int, type string, confidence double, x1 double, y1 double, x2 double, y2 double, image struct<height:int,width:int,nChannels:int,data:binary>"
+
+    def run(it):
+        for pdf in it:
+            for row in pdf.itertuples(index=False):
+                i = row.image
+                a = np.frombuffer(i["data"], np.uint8).reshape(i["height"], i["width"], i["nChannels"])
+                out = []
+                for b in row.boxes:
+                    x1, y1, x2, y2 = (int(np.floor(b["x1"])), int(np.floor(b["y1"])), int(np.ceil(b["x2"])), int(np.ceil(b["y2"])))
+                    part = np.ascontiguousarray(a[max(0, y1) : y2, max(0, x1) : x2])
+                    image = {"height": part.shape[0], "width": part.shape[1], "nChannels": part.shape[2], "data": part.tobytes()}
+                    out.append([*(getattr(row, k) for k in keys), row.w, row.h, b["block_idx"], b["type"], b["confidence"], b["x1"], b["y1"], b["x2"], b["y2"], image])
+                if out:
+                    yield pd.DataFrame(out, columns=[*keys, "w", "h", "block_idx", "type", "confidence", "x1", "y1", "x2", "y2", "image"])
+
+    return pages.select(*keys, "image", "w", "h", "boxes").mapInPandas(run, schema)

@@ -25,6 +25,15 @@ def boundary_cells(rules: DataFrame, keys: list[str], least: float = 14.0) -> Da
     return spans("h", "y1", "y2", "row").join(spans("v", "x1", "x2", "col"), keys).select(*keys, "row", "col", "x1", "y1", "x2", "y2")
 
 
+def line_axes(lines: DataFrame, most: float = 3.0) -> DataFrame:
+    """Lines (x1, y1, x2, y2) that are horizontal (axis h, p their height) or else vertical (axis v, p their place across), up
+    to `most` pixels; others go."""
+    flat, upright = F.abs(F.col("y2") - F.col("y1")) <= most, F.abs(F.col("x2") - F.col("x1")) <= most
+    axis = F.when(flat, "h").when(upright, "v")
+    p = F.when(flat, (F.col("y1") + F.col("y2")) / 2).otherwise((F.col("x1") + F.col("x2")) / 2)
+    return lines.withColumn("axis", axis).withColumn("p", p).filter("axis is not null")
+
+
 def nearest(values: Column, v: Column) -> Column:
     """Place (from 0) of the nearest of an ordered array of values, the first on ties."""
     gaps = F.transform(values, lambda c: F.abs(c - v))

@@ -10,16 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 Engine = Callable[[pd.DataFrame], pd.DataFrame]
-#: The slots and the columns they give.
+#: A decoded image: rows of BGR (or grey) bytes.
+IMAGE = "struct<height:int,width:int,nChannels:int,data:binary>"
+BLOCKS = "blocks array<struct<x1:double,y1:double,x2:double,y2:double,type:string,confidence:double>>"
+#: The slots and the columns they give. pdf_pages decodes the pages of a PDF; layout_fallback is asked where layout finds
+#: nothing; lines gives ruled lines of a page.
 SCHEMAS = {
+    "layout_fallback": BLOCKS, "lines": "lines array<struct<x1:double,y1:double,x2:double,y2:double>>",
     "layout": "blocks array<struct<x1:double,y1:double,x2:double,y2:double,type:string,confidence:double>>", "words": "words array<struct<left:int,top:int,width:int,height:int,conf:double,text:string>>",
     "tesseract": "text string, confidence double", "paddle": "text string, confidence double", "surya": "text string, confidence double", "trocr": "text string, confidence double",
-    "figure_classifier": "label string", "text_model": "answer string", "vision_model": "answer string", "language_detector": "lang string, confidence double", "pdf_pages": "pages array<binary>", "super_resolution": "image binary, factor double",
+    "figure_classifier": "label string", "text_model": "answer string", "vision_model": "answer string", "language_detector": "lang string, confidence double", "pdf_pages": f"pages array<{IMAGE}>", "super_resolution": "image binary, factor double",
 }
 _LOADED: dict[int, Engine] = {}
 
@@ -44,29 +51,46 @@ class Registry:
         return {s: s in self.factories for s in SCHEMAS}
 
     def apply(self, df: DataFrame, slot: str, inputs: list[str], when: Column | None = None, prefix: str = "") -> DataFrame:
-        """df with the slot's columns (prefixed). `when`: rows the engine is called for; the others, and all where the
-        slot is empty, have nulls. The engine gets whole batches of the input columns."""
+        """df with the slot's columns (prefixed). `when`: rows the engine is called for; the others, all where the slot is
+        empty, and rows that the engine fails on, have nulls. The engine gets the input columns of a batch's rows at once,
+        and where that fails one by one. df is read once whatever `when` says."""
         parts = [p.strip() for p in SCHEMAS[slot].split(", ")]
         names = [p.split(" ", 1) for p in parts]
-        nulls = [F.lit(None).cast(kind).alias(prefix + n) for n, kind in names]
         factory = self.factories.get(slot)
         if factory is None:
-            return df.select("*", *nulls)
+            return df.select("*", *[F.lit(None).cast(kind).alias(prefix + n) for n, kind in names])
         key = id(factory)
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{prefix + n}` {kind}" for n, kind in names)])
+        out = StructType([*df.schema.fields, *(StructField(prefix + n, _parse_datatype_string(kind)) for n, kind in names)])
+        flagged = df.withColumn("_asked", F.lit(True) if when is None else F.coalesce(when, F.lit(False)))
 
-        def call(rows: DataFrame) -> DataFrame:
-            def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                engine = worker_engine(key, factory)
-                for pdf in it:
-                    got = engine(pdf[inputs])
+        def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            engine = worker_engine(key, factory)
+            for pdf in it:
+                asked = pdf.pop("_asked").to_numpy(bool)
+                rows = pdf.loc[asked, inputs]
+                values = {n: [None] * len(pdf) for n, _ in names}
+                for at, got in answers(engine, rows, np.flatnonzero(asked)):
                     for n, _ in names:
-                        pdf[prefix + n] = got[n].to_numpy() if len(got) else None
-                    yield pdf
+                        for i, v in zip(at, got[n].tolist()):
+                            values[n][i] = v
+                for n, _ in names:
+                    pdf[prefix + n] = pd.Series(values[n], index=pdf.index, dtype=object)
+                yield pdf
 
-            return rows.mapInPandas(run, schema)
+        return flagged.mapInPandas(run, out)
 
-        if when is None:
-            return call(df)
-        hit = F.coalesce(when, F.lit(False))
-        return call(df.filter(hit)).unionByName(df.filter(~hit).select("*", *nulls))
+
+def answers(engine: Engine, rows: pd.DataFrame, at: np.ndarray) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
+    """What the engine says of the rows at these places; of rows it fails on nothing."""
+    if not len(rows):
+        return
+    try:
+        yield at, engine(rows)
+        return
+    except Exception:  # noqa: BLE001 - an engine may fail in any way
+        pass
+    for i in range(len(rows)):
+        try:
+            yield at[i : i + 1], engine(rows.iloc[i : i + 1])
+        except Exception:  # noqa: BLE001
+            continue
