@@ -170,7 +170,7 @@ def spellings(values: DataFrame, lore: Lore) -> DataFrame:
     return values.select("value", "n").mapInArrow(run, "value string, n bigint, kind string, part string, initial string, core string, known boolean")
 
 
-def cut(length: Column, i: int, pieces: int) -> tuple[Column, Column]:
+def cut(length: Column, i: int | Column, pieces: int) -> tuple[Column, Column]:
     """Start (from 0) and size of segment i of a name of that length cut into so many pieces."""
     start = F.floor(length * i / pieces).cast("int")
     return start, F.floor(length * (i + 1) / pieces).cast("int") - start
@@ -197,16 +197,15 @@ def segment_join(names: DataFrame, block: str, text: str, most: int = MOST_ERROR
     forms = F.transform(F.when(n <= pieces, fewer).otherwise(none), lambda x: key(F.lit(-1), F.lit(-1), x))
     own = F.when(n >= pieces, F.array(*[key(n, F.lit(i), F.col(text).substr(cut(n, i, pieces)[0] + 1, cut(n, i, pieces)[1])) for i in range(pieces)])).otherwise(none)
     index = base.select(F.col("row").alias("b"), F.explode(F.array_distinct(F.concat(forms, own))).alias("k"))
-    shifts = [(d, i, s) for d in range(-most, most + 1) for i in range(pieces) for s in range(-most, most + 1)]
-
-    def looked_up(d: int, i: int, shift: int, swapped: bool) -> Column:
-        begin, size = cut(n + d, i, pieces)
-        at = begin + shift
-        s = F.concat(F.col(text).substr(at + 1, size - 1), F.col(text).substr(at + size + 1, F.lit(1))) if swapped else F.col(text).substr(at + 1, size)
-        return F.when((n + d >= pieces) & (at >= 0) & (F.length(s) > 0), key(n + d, F.lit(i), s))
-
-    shifted = F.array(*[looked_up(*x, False) for x in shifts], *[looked_up(*x, True) for x in shifts if x[1] < pieces - 1])
-    probe = (base.filter(probes) if probes is not None else base).select(F.col("row").alias("a"), F.explode(F.array_distinct(F.concat(forms, F.array_compact(shifted)))).alias("k"))
+    ways = [(d, i, s, w) for w in (False, True) for d in range(-most, most + 1) for i in range(pieces - w) for s in range(-most, most + 1)]
+    way = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s"), F.lit(w).alias("w")) for d, i, s, w in ways])).alias("way")
+    asked = base.filter(probes) if probes is not None else base
+    length = n + F.col("way.d")
+    begin, size = cut(length, F.col("way.i"), pieces)
+    rows = asked.select("row", block, text, way).select("*", length.alias("len"), (begin + F.col("way.s")).alias("at"), size.alias("size")).filter((F.col("len") >= pieces) & (F.col("at") >= 0))
+    part = F.when(F.col("way.w"), F.concat(F.col(text).substr(F.col("at") + 1, F.col("size") - 1), F.col(text).substr(F.col("at") + F.col("size") + 1, F.lit(1)))).otherwise(F.col(text).substr(F.col("at") + 1, F.col("size")))
+    probe = rows.withColumn("part", part).filter(F.length("part") > 0).select(F.col("row").alias("a"), key(F.col("len"), F.col("way.i"), F.col("part")).alias("k"))
+    probe = probe.unionByName(asked.filter(n <= pieces).select(F.col("row").alias("a"), F.explode(forms).alias("k")))
     shorter = F.least(F.length(f"a.{text}"), F.length(f"b.{text}"))
     found = probe.join(index, "k").filter("a.name != b.name").withColumn("far", F.levenshtein(f"a.{text}", f"b.{text}", 2 * most)).filter((F.col("far") >= 0) & (F.col("far") <= F.when(shorter < 7, 2).otherwise(2 * most)))  # a swap counts two there
     once = found.select("a", "b", F.col("a.name").alias("an"), F.col("b.name").alias("bn")).repartition(tasks, "an").dropDuplicates(["an", "bn"]).drop("an", "bn")
