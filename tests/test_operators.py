@@ -158,7 +158,7 @@ def test_costly_engines_see_only_their_rows(spark):
 def test_fuzzy(spark):
     terms = spark.createDataFrame([("signature",), ("message",), ("time",), ("messages",)], "term string")
     words = spark.createDataFrame([("signatuer",), ("mesage",), ("tmie",), ("xxxxxx",)], "word string")
-    assert {r.word: r.term for r in Z.best_terms(words, terms).collect()} == {"mesage": "message"}
+    assert {r.word: r.term for r in Z.best_terms(words, terms).collect()} == {"mesage": "message", "signatuer": "signature"}  # a swap is one edit
     texts = spark.createDataFrame([(1, "The MESAGE, (Mesage) ok\n"), (2, None), (3, "")], "id int, t string")
     got = {r.id: (r.corrected, r.n_changed) for r in Z.corrected(texts, "id", "t", terms).collect()}
     assert got == {1: ("The MESSAGE, (Message) ok\n", 2), 2: ("", 0), 3: ("", 0)}
